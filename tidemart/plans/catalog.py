@@ -43,3 +43,74 @@ def q_fact_order_items(spark, sf_dir):
 def q_daily_sales_summary(spark, sf_dir):
     """A1 over the full fact: the flagship query."""
     return marts.daily_summary(fact_from_tables(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ staging
+
+@register("stg_products_latest")
+def q_stg_products_latest(spark, sf_dir):
+    """P2 + W1 + P12: variant paths of product snapshots, latest per product."""
+    from ..operators import staging
+    return staging.stage_products(testdata.raw_products(spark, sf_dir))
+
+
+@register("stg_orders_latest")
+def q_stg_orders_latest(spark, sf_dir):
+    """P3 + W2: order headers from nested variant records, latest per order."""
+    from ..operators import staging
+    return staging.stage_orders(testdata.raw_orders(spark, sf_dir))
+
+
+@register("stg_order_items_flatten")
+def q_stg_order_items_flatten(spark, sf_dir):
+    """G2 -> J2 + P4: assemble nested orders, then lateral-flatten the items again."""
+    from ..operators import staging
+    return staging.stage_order_items(testdata.raw_orders(spark, sf_dir))
+
+
+@register("variant_path_events")
+def q_variant_path_events(spark, sf_dir):
+    """X1 + X2: a typed path out of semi-structured text."""
+    from ..functions.variant import path
+    ev = testdata.raw_events(spark, sf_dir)
+    return ev.select("event_id", "event_type", path("props_v", "$.k", "int").alias("k"))
+
+
+# ------------------------------------------------------------------ dimensions
+
+@register("dim_product")
+def q_dim_product(spark, sf_dir):
+    """P5: column-pruned projection of the latest product versions."""
+    from ..operators import staging
+    return marts.dim_product(staging.stage_products(testdata.raw_products(spark, sf_dir)))
+
+
+def order_date_spine(spark, sf_dir):
+    """Day spine over the order dates of the data (bounds derived, not fixed)."""
+    from pyspark.sql import functions as F
+    from ..functions.dates import spine_from_bounds
+    bounds = testdata.order_headers(spark, sf_dir).agg(
+        F.min("extraction_date").alias("start"),
+        F.date_add(F.max("extraction_date"), 1).alias("end"))
+    return spine_from_bounds(bounds)
+
+
+@register("dim_date")
+def q_dim_date(spark, sf_dir):
+    """Calendar attributes over a day spine spanning the order dates."""
+    return marts.dim_date(order_date_spine(spark, sf_dir))
+
+
+@register("order_rollup")
+def q_order_rollup(spark, sf_dir):
+    """A8 + X7: per-order totals, item count and quantity from the flat lines."""
+    from pyspark.sql import functions as F
+    from ..operators.assembly import order_rollup
+    from ..functions import pricing
+    r = order_rollup(testdata.priced_lines(spark, sf_dir))
+    heads = testdata.order_headers(spark, sf_dir).select("order_id", "user_id", "extraction_date")
+    return r.join(heads, "order_id").select(
+        "order_id", "user_id", "extraction_date",
+        pricing.to_double("order_total").alias("order_total"),
+        pricing.to_double("order_discounted_total").alias("order_discounted_total"),
+        "total_products", "total_quantity")

@@ -71,3 +71,60 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["fact_order_items"] = f"WITH {FACT}\nSELECT * FROM fact"
 ORACLE["daily_sales_summary"] = f"WITH {FACT}\n{summary_select()}"
+
+ORACLE["stg_products_latest"] = """
+WITH sales AS (
+  SELECT l.l_partkey AS product_id, CAST(o.o_orderdate AS DATE) AS d, count(*) AS n
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2
+), latest AS (
+  SELECT * FROM sales QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY d DESC) = 1
+)
+SELECT p.p_partkey AS product_id, p.p_name AS title, p.p_type AS category,
+       CAST(CAST(p.p_retailprice AS DECIMAL(14,2)) AS DOUBLE) AS price,
+       CAST(p.p_size AS DOUBLE) / 10 AS rating_rate, CAST(n AS INTEGER) AS rating_count,
+       d AS extraction_date, CAST(d AS TIMESTAMP) AS loaded_at
+FROM latest JOIN part p ON p.p_partkey = latest.product_id"""
+
+ORACLE["dim_product"] = f"""
+SELECT product_id, title, category, price, rating_rate, rating_count
+FROM ({ORACLE['stg_products_latest']})"""
+
+ORDER_TOTALS = PRICED_LINES + """,
+totals AS (
+  SELECT order_id, ROUND(sum(lt), 2) AS t, ROUND(sum(ldt), 2) AS dt, count(*) AS n,
+         sum(quantity) AS q
+  FROM priced_lines GROUP BY order_id
+)"""
+
+ORACLE["stg_orders_latest"] = f"""
+WITH {ORDER_TOTALS}
+SELECT o.o_orderkey AS order_id, o.o_custkey AS user_id,
+       CAST(coalesce(t, 0) AS DOUBLE) AS order_total,
+       CAST(coalesce(dt, 0) AS DOUBLE) AS order_discounted_total,
+       CAST(coalesce(n, 0) AS INTEGER) AS total_products,
+       CAST(coalesce(q, 0) AS INTEGER) AS total_quantity,
+       CAST(o.o_orderdate AS DATE) AS extraction_date, o.o_orderdate AS loaded_at
+FROM orders o LEFT JOIN totals ON totals.order_id = o.o_orderkey"""
+
+ORACLE["order_rollup"] = f"""
+WITH {ORDER_TOTALS}
+SELECT o.o_orderkey AS order_id, o.o_custkey AS user_id,
+       CAST(o.o_orderdate AS DATE) AS extraction_date,
+       CAST(t AS DOUBLE) AS order_total, CAST(dt AS DOUBLE) AS order_discounted_total,
+       CAST(n AS INTEGER) AS total_products, CAST(q AS INTEGER) AS total_quantity
+FROM orders o JOIN totals ON totals.order_id = o.o_orderkey"""
+
+ORACLE["stg_order_items_flatten"] = f"WITH {STAGED_ITEMS}\nSELECT * FROM staged_items"
+
+ORACLE["variant_path_events"] = """
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"""
+
+ORACLE["dim_date"] = """
+WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS s, max(CAST(o_orderdate AS DATE)) AS e
+           FROM orders),
+spine AS (SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP),
+                                             INTERVAL 1 DAY)) AS DATE) AS d FROM b)
+SELECT d AS date_key, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       CAST(day(d) AS INTEGER) AS day, strftime(d, '%a') AS day_name,
+       CAST(dayofweek(d) AS INTEGER) AS day_of_week
+FROM spine"""

@@ -78,3 +78,56 @@ def staged_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         pricing.to_double("line_discounted_total").alias("line_discounted_total"),
         "extraction_date", "loaded_at",
     )
+
+
+# ---------------------------------------------------------------- raw layers
+
+def raw_orders(spark: SparkSession, sf_dir: str, page_size: int | None = None) -> DataFrame:
+    """Raw order records (variant) assembled from orders + lineitem + part."""
+    from ..operators.assembly import DEFAULT_PAGE_SIZE, assemble_orders
+    from .raw import to_raw
+    nested = assemble_orders(order_headers(spark, sf_dir), priced_lines(spark, sf_dir),
+                             page_size or DEFAULT_PAGE_SIZE)
+    return to_raw(nested, "orders")
+
+
+def product_record(rating_count: F.Column) -> F.Column:
+    """A catalogue record shaped like the reference's product contract."""
+    return F.struct(
+        F.col("product_id").alias("id"),
+        F.col("title"),
+        pricing.to_double("unit_price").alias("price"),
+        F.col("brand").alias("description"),
+        F.col("category"),
+        F.concat(F.lit("img/"), F.col("product_id").cast("string"), F.lit(".png")).alias("image"),
+        F.struct((F.col("rating_rate_raw").cast("double") / F.lit(10)).alias("rate"),
+                 rating_count.alias("count")).alias("rating"),
+    )
+
+
+def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw product snapshots: one per (product, sale date), as a daily catalogue
+    extract carrying the products sold that day; rating.count = lines sold that day."""
+    cat = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type",
+                     "p_size", "p_retailprice").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("title"),
+        F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
+        F.col("p_size").alias("rating_rate_raw"),
+        pricing.as_money("p_retailprice").alias("unit_price"))
+    sales = (read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
+             .join(order_headers(spark, sf_dir).select("order_id", "extraction_date"),
+                   F.col("l_orderkey") == F.col("order_id"))
+             .groupBy(F.col("l_partkey").alias("product_id"), "extraction_date")
+             .agg(F.count(F.lit(1)).cast("int").alias("n_lines")))
+    snap = sales.join(cat, "product_id").select(
+        "extraction_date",
+        F.col("extraction_date").cast("timestamp_ntz").alias("loaded_at"),
+        product_record(F.col("n_lines")).alias("record"))
+    from .raw import to_raw
+    return to_raw(snap, "products")
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events.props (JSON text) as a variant column."""
+    return read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type",
+                      "value", "props").withColumn("props_v", F.parse_json("props"))
