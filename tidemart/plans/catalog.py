@@ -114,3 +114,114 @@ def q_order_rollup(spark, sf_dir):
         pricing.to_double("order_total").alias("order_total"),
         pricing.to_double("order_discounted_total").alias("order_discounted_total"),
         "total_products", "total_quantity")
+
+
+# ------------------------------------------------------------------ reports
+
+def joined_fact(spark, sf_dir):
+    from ..operators import reports, staging
+    dim = marts.dim_product(staging.stage_products(testdata.raw_products(spark, sf_dir)))
+    return reports.fact_with_product(fact_from_tables(spark, sf_dir), dim)
+
+
+@register("fact_product_join")
+def q_fact_product_join(spark, sf_dir):
+    """Fact left-joined to the product dimension (8 fact + 4 product columns)."""
+    return joined_fact(spark, sf_dir)
+
+
+@register("kpi_row")
+def q_kpi_row(spark, sf_dir):
+    """R1 + A3."""
+    from ..operators import reports
+    return reports.kpi_row(joined_fact(spark, sf_dir))
+
+
+@register("revenue_by_category")
+def q_revenue_by_category(spark, sf_dir):
+    """R2 + A4 + O2."""
+    from ..operators import reports
+    return reports.revenue_by_category(joined_fact(spark, sf_dir))
+
+
+@register("top10_products")
+def q_top10_products(spark, sf_dir):
+    """R3 + A5 + O3 + O4 (top-k is the feature: limit 10)."""
+    from ..operators import reports
+    return reports.top_products(joined_fact(spark, sf_dir), 10)
+
+
+@register("price_vs_rating")
+def q_price_vs_rating(spark, sf_dir):
+    """R4 + A7: one row per product."""
+    from ..operators import reports
+    return reports.price_vs_rating(joined_fact(spark, sf_dir))
+
+
+@register("daily_trend")
+def q_daily_trend(spark, sf_dir):
+    """R5 + O1: revenue per day plus the fewer-than-two-days flag."""
+    from ..operators import reports
+    return reports.daily_trend(marts.daily_summary(fact_from_tables(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ quality
+
+@register("quality_report")
+def q_quality_report(spark, sf_dir):
+    """Q1-Q4: the 12 declared checks over the star schema, as one report."""
+    from ..operators import quality, staging
+    fact = fact_from_tables(spark, sf_dir)
+    dim_p = marts.dim_product(staging.stage_products(testdata.raw_products(spark, sf_dir)))
+    dim_d = marts.dim_date(order_date_spine(spark, sf_dir))
+    checks = quality.star_schema_checks(dim_d, dim_p, fact, marts.daily_summary(fact))
+    return quality.report(checks)
+
+
+def all_order_totals(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..operators.assembly import order_rollup
+    from ..functions import pricing
+    r = order_rollup(testdata.priced_lines(spark, sf_dir))
+    heads = testdata.order_headers(spark, sf_dir).select("order_id")
+    return heads.join(r, "order_id", "left").select(
+        "order_id",
+        F.coalesce(pricing.to_double("order_total"), F.lit(0.0)).alias("order_total"),
+        F.coalesce(pricing.to_double("order_discounted_total"), F.lit(0.0)).alias("order_discounted_total"),
+        F.coalesce("total_products", F.lit(0)).alias("total_products"))
+
+
+@register("order_id_blocks")
+def q_order_id_blocks(spark, sf_dir):
+    """W4 + X12: dense per-day id blocks (distributed numbering)."""
+    from ..operators.sampling import order_id_blocks
+    heads = testdata.order_headers(spark, sf_dir).select("order_id", "extraction_date")
+    return order_id_blocks(heads)
+
+
+@register("order_invariants")
+def q_order_invariants(spark, sf_dir):
+    """Q5 + Q6: invariant violation counts and disjoint day id ranges."""
+    from ..operators import quality
+    from ..operators.sampling import order_id_blocks
+    inv = quality.order_invariants(all_order_totals(spark, sf_dir),
+                                   testdata.staged_order_items(spark, sf_dir))
+    heads = testdata.order_headers(spark, sf_dir).select("order_id", "extraction_date")
+    ids = order_id_blocks(heads).select("extraction_date", "block_id")
+    return inv.unionByName(quality.day_block_overlaps(ids, id_col="block_id"))
+
+
+@register("validate_products")
+def q_validate_products(spark, sf_dir):
+    """Typed contract check of catalogue records; errors per record."""
+    from ..operators.validation import validate
+    recs = testdata.product_records_with_defects(spark, sf_dir)
+    return validate(recs).select("product_id", "valid", "errors")
+
+
+@register("stable_daily_sample")
+def q_stable_daily_sample(spark, sf_dir):
+    """G3 + X18: per day, least(3, n) order items picked by md5 rank, stable across runs."""
+    from ..operators.sampling import stable_sample
+    fact = fact_from_tables(spark, sf_dir).select("date_key", "order_item_key")
+    return stable_sample(fact, "date_key", "order_item_key", 3)

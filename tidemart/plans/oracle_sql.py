@@ -128,3 +128,148 @@ SELECT d AS date_key, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER
        CAST(day(d) AS INTEGER) AS day, strftime(d, '%a') AS day_name,
        CAST(dayofweek(d) AS INTEGER) AS day_of_week
 FROM spine"""
+
+DIM_PRODUCT_CTE = f"dimp AS ({ORACLE['dim_product']})"
+JOINED = f"""{FACT}, {DIM_PRODUCT_CTE},
+joined AS (
+  SELECT f.order_id, f.product_id, f.date_key, f.quantity, f.unit_price, f.line_total,
+         f.discount_percentage, f.line_discounted_total,
+         p.title, p.category, p.rating_rate, p.rating_count
+  FROM fact f LEFT JOIN dimp p ON f.product_id = p.product_id
+)"""
+
+ORACLE["fact_product_join"] = f"WITH {JOINED}\nSELECT * FROM joined"
+
+ORACLE["kpi_row"] = f"""
+WITH {JOINED}
+SELECT coalesce(CAST(ROUND(sum(CAST(line_total AS DECIMAL(14,2))), 2) AS DOUBLE), 0.0) AS total_revenue,
+       count(DISTINCT order_id) AS total_orders,
+       CAST(coalesce(sum(quantity), 0) AS BIGINT) AS items_sold,
+       CAST(sum(CAST(CAST(discount_percentage AS DECIMAL(5,2)) * 100 AS BIGINT)) AS DOUBLE)
+         / CAST(count(discount_percentage) AS DOUBLE) / 100.0 AS avg_discount
+FROM joined"""
+
+ORACLE["revenue_by_category"] = f"""
+WITH {JOINED}
+SELECT category, CAST(ROUND(sum(CAST(line_total AS DECIMAL(14,2))), 2) AS DOUBLE) AS line_total
+FROM joined WHERE category IS NOT NULL GROUP BY category ORDER BY line_total DESC, category"""
+
+ORACLE["top10_products"] = f"""
+WITH {JOINED}
+SELECT title, CAST(sum(quantity) AS BIGINT) AS quantity
+FROM joined WHERE title IS NOT NULL GROUP BY title ORDER BY quantity DESC, title LIMIT 10"""
+
+ORACLE["price_vs_rating"] = f"""
+WITH {JOINED}
+SELECT product_id, rating_rate, unit_price, rating_count, title FROM joined
+QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY date_key, order_id, unit_price) = 1"""
+
+ORACLE["daily_trend"] = f"""
+WITH {FACT}, summ AS ({summary_select()})
+SELECT date_key, total_revenue, (SELECT count(*) FROM summ) < 2 AS few_days FROM summ"""
+
+_DIM_DATE_CTE = f"dimd AS ({ORACLE['dim_date']})"
+
+
+def _unique(table: str, col: str) -> str:
+    return (f"SELECT 'unique' AS check_name, '{table}' AS table_name, '{col}' AS column_name, "
+            f"CAST((SELECT count(*) FROM (SELECT {col} FROM {{t}} WHERE {col} IS NOT NULL "
+            f"GROUP BY {col} HAVING count(*) > 1)) AS BIGINT) AS failures")
+
+
+def _check(kind: str, table: str, alias: str, col: str, parent: str | None = None,
+           pcol: str | None = None) -> str:
+    if kind == "unique":
+        return _unique(table, col).format(t=alias)
+    if kind == "not_null":
+        body = f"SELECT count(*) FROM {alias} WHERE {col} IS NULL"
+    else:
+        body = (f"SELECT count(*) FROM {alias} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
+    return (f"SELECT '{kind}' AS check_name, '{table}' AS table_name, '{col}' AS column_name, "
+            f"CAST(({body}) AS BIGINT) AS failures")
+
+
+_CHECKS = [
+    ("unique", "dim_date", "dimd", "date_key"), ("not_null", "dim_date", "dimd", "date_key"),
+    ("unique", "dim_product", "dimp", "product_id"),
+    ("not_null", "dim_product", "dimp", "product_id"),
+    ("unique", "fact_order_items", "fact", "order_item_key"),
+    ("not_null", "fact_order_items", "fact", "order_item_key"),
+    ("not_null", "fact_order_items", "fact", "product_id"),
+    ("relationships", "fact_order_items", "fact", "product_id", "dimp", "product_id"),
+    ("not_null", "fact_order_items", "fact", "date_key"),
+    ("relationships", "fact_order_items", "fact", "date_key", "dimd", "date_key"),
+    ("unique", "agg_daily_sales_summary", "summ", "date_key"),
+    ("not_null", "agg_daily_sales_summary", "summ", "date_key"),
+]
+
+ORACLE["quality_report"] = (
+    f"WITH {FACT}, {DIM_PRODUCT_CTE}, {_DIM_DATE_CTE}, summ AS ({summary_select()}),\n"
+    "checks AS (" + "\nUNION ALL\n".join(_check(*c) for c in _CHECKS) + ")\n"
+    "SELECT *, failures = 0 AS passed FROM checks")
+
+_BLOCK_IDS = """
+ids AS (
+  SELECT CAST(o_orderdate AS DATE) AS extraction_date, o_orderkey AS order_id,
+         CAST(date_diff('day', DATE '2026-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS day_index,
+         row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS seq_in_day
+  FROM orders
+)"""
+
+ORACLE["order_id_blocks"] = f"""
+WITH {_BLOCK_IDS}
+SELECT extraction_date, order_id, day_index, seq_in_day,
+       CAST(day_index AS BIGINT) * 100 + seq_in_day AS block_id
+FROM ids"""
+
+ORACLE["order_invariants"] = f"""
+WITH {STAGED_ITEMS},
+totals AS (
+  SELECT order_id, ROUND(sum(lt), 2) AS t, ROUND(sum(ldt), 2) AS dt, count(*) AS n
+  FROM priced_lines GROUP BY order_id
+),
+ord AS (
+  SELECT o.o_orderkey AS order_id, CAST(coalesce(t, 0) AS DOUBLE) AS order_total,
+         CAST(coalesce(dt, 0) AS DOUBLE) AS order_discounted_total,
+         CAST(coalesce(n, 0) AS INTEGER) AS total_products
+  FROM orders o LEFT JOIN totals ON totals.order_id = o.o_orderkey
+),
+{_BLOCK_IDS},
+per_day AS (
+  SELECT extraction_date, min(CAST(day_index AS BIGINT) * 100 + seq_in_day) AS lo,
+         max(CAST(day_index AS BIGINT) * 100 + seq_in_day) AS hi
+  FROM ids GROUP BY extraction_date
+),
+lagged AS (
+  SELECT lo, max(hi) OVER (ORDER BY extraction_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_hi
+  FROM per_day
+)
+SELECT 'total_below_discounted' AS check_name,
+       CAST((SELECT count(*) FROM ord WHERE order_total < order_discounted_total) AS BIGINT) AS failures
+UNION ALL SELECT 'items_out_of_range',
+       CAST((SELECT count(*) FROM ord WHERE total_products < 1 OR total_products > 5) AS BIGINT)
+UNION ALL SELECT 'line_total_mismatch',
+       CAST((SELECT count(*) FROM staged_items
+             WHERE CAST(line_total AS DECIMAL(14,2)) <> ROUND(CAST(unit_price AS DECIMAL(14,2)) * quantity, 2)) AS BIGINT)
+UNION ALL SELECT 'quantity_out_of_range',
+       CAST((SELECT count(*) FROM staged_items WHERE quantity < 1 OR quantity > 4) AS BIGINT)
+UNION ALL SELECT 'day_id_ranges_disjoint',
+       CAST((SELECT count(*) FROM lagged WHERE lo <= prev_hi) AS BIGINT)"""
+
+ORACLE["validate_products"] = """
+SELECT p_partkey AS product_id,
+       p_size NOT IN (1, 3, 4, 5, 7, 8) AS valid,
+       CASE p_size WHEN 1 THEN 'price' WHEN 3 THEN 'title' WHEN 4 THEN 'rating'
+                   WHEN 5 THEN 'rating.count' WHEN 7 THEN 'category' WHEN 8 THEN 'description'
+                   ELSE '' END AS errors
+FROM part"""
+
+ORACLE["stable_daily_sample"] = f"""
+WITH {FACT}
+SELECT date_key, order_item_key,
+       CAST(row_number() OVER (PARTITION BY date_key
+            ORDER BY md5(strftime(date_key, '%Y-%m-%d') || '|' || order_item_key), order_item_key)
+            AS INTEGER) AS pick_rank
+FROM fact
+QUALIFY pick_rank <= 3"""

@@ -131,3 +131,35 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events.props (JSON text) as a variant column."""
     return read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type",
                       "value", "props").withColumn("props_v", F.parse_json("props"))
+
+
+def product_records_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue records (variant) built from ``part``, with defects placed by p_size.
+
+    Fixed defect plan (p_size -> defect): 1 price is "not_a_number"; 2 price is
+    numeric text (passes); 3 title is null; 4 rating is missing; 5 rating.count
+    is 2.5; 6 id is numeric text (passes); 7 category is a number; 8 description
+    is missing. Other sizes are valid.
+    """
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type",
+                   "p_size", "p_retailprice")
+    s = F.col("p_size")
+    var = lambda c: c.cast("variant")
+    price = pricing.as_money("p_retailprice")
+    rating = F.to_variant_object(F.create_map(
+        F.lit("rate"), var(F.col("p_size").cast("double") / F.lit(10)),
+        F.lit("count"), F.when(s == 5, var(F.lit(2.5))).otherwise(var(s))))
+    fields = F.create_map(
+        F.lit("id"), F.when(s == 6, var(F.col("p_partkey").cast("string")))
+                      .otherwise(var(F.col("p_partkey"))),
+        F.lit("title"), F.when(s == 3, F.parse_json(F.lit("null"))).otherwise(var(F.col("p_name"))),
+        F.lit("price"), F.when(s == 1, var(F.lit("not_a_number")))
+                         .when(s == 2, var(price.cast("string")))
+                         .otherwise(var(price.cast("double"))),
+        F.lit("description"), F.when(s != 8, var(F.col("p_brand"))),
+        F.lit("category"), F.when(s == 7, var(s)).otherwise(var(F.col("p_type"))),
+        F.lit("image"), var(F.concat(F.lit("img/"), F.col("p_partkey").cast("string"), F.lit(".png"))),
+        F.lit("rating"), F.when(s != 4, rating),
+    )
+    record = F.to_variant_object(F.map_filter(fields, lambda k, v: v.isNotNull()))
+    return p.select(F.col("p_partkey").alias("product_id"), record.alias("record"))
