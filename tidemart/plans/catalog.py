@@ -225,3 +225,82 @@ def q_stable_daily_sample(spark, sf_dir):
     from ..operators.sampling import stable_sample
     fact = fact_from_tables(spark, sf_dir).select("date_key", "order_item_key")
     return stable_sample(fact, "date_key", "order_item_key", 3)
+
+
+# ------------------------------------------------------------------ incremental
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("daily_summary_incremental")
+def q_daily_summary_incremental(spark, sf_dir):
+    """I1-I6 + A2: three loads (the last a backfill of the oldest dates) merged one by
+    one into partitioned fact and summary tables; ends equal to a full rebuild."""
+    from ..operators.incremental import Marts
+    from ..session import scratch_dir
+    m = Marts(spark, scratch_dir(spark, "incremental"))
+    loads = [testdata.load_items(spark, sf_dir, i) for i in range(len(testdata.THREE_LOADS))]
+    for i in range(len(loads)):
+        # raw accumulates; the mark filter inside refresh picks the new load only
+        m.refresh(_union(loads[: i + 1]))
+    return m.summary.read().select(*marts.SUMMARY_COLUMNS)
+
+
+REVISION_STAMPS = ("2026-01-01 01:00:00", "2026-01-01 02:00:00")
+
+
+@register("fact_incremental_revision")
+def q_fact_incremental_revision(spark, sf_dir):
+    """A later version of a key replaces the earlier one, also across dates."""
+    from ..operators.incremental import Marts
+    from ..session import scratch_dir
+    m = Marts(spark, scratch_dir(spark, "revision"))
+    v1 = testdata.staged_order_items(spark, sf_dir, loaded_at=REVISION_STAMPS[0])
+    v2 = testdata.revised_items(spark, sf_dir, REVISION_STAMPS[1])
+    m.refresh(v1)
+    m.refresh(v1.unionByName(v2))
+    return m.fact.read().select(*marts.FACT_COLUMNS)
+
+
+SCHEMA_SPLIT = "1998-01-01"
+
+
+@register("fact_schema_sync")
+def q_fact_schema_sync(spark, sf_dir):
+    """I4: a load adds tax_percentage and drops discount_percentage; columns follow."""
+    from ..operators.incremental import Marts
+    from ..session import scratch_dir
+    m = Marts(spark, scratch_dir(spark, "schema-sync"))
+    m.refresh(testdata.staged_order_items(spark, sf_dir, (None, SCHEMA_SPLIT), REVISION_STAMPS[0]))
+    m.refresh(testdata.items_with_tax(spark, sf_dir, (SCHEMA_SPLIT, None), REVISION_STAMPS[1]))
+    return m.fact.read()
+
+
+@register("affected_dates")
+def q_affected_dates(spark, sf_dir):
+    """A6 + P10 + P11: dates with fact rows newer than the summary's latest load."""
+    from ..operators.incremental import affected_dates
+    loads = [testdata.load_items(spark, sf_dir, i) for i in range(len(testdata.THREE_LOADS))]
+    fact = marts.build_fact(_union(loads))
+    summary_before_last = marts.daily_summary(marts.build_fact(_union(loads[:2])))
+    return affected_dates(fact, summary_before_last)
+
+
+@register("ledger_pending_files")
+def q_ledger_pending_files(spark, sf_dir):
+    """S4 + J4: landing files (one per source and date) not yet in the loaded-file ledger."""
+    from pyspark.sql import functions as F
+    from ..sources.landing import pending_files
+    from ..sources.raw import landing_file_name
+    files = (testdata.order_headers(spark, sf_dir).groupBy("extraction_date")
+             .agg(F.count(F.lit(1)).alias("record_count"))
+             .select(landing_file_name("orders", F.col("extraction_date")).alias("file_name"),
+                     "extraction_date", "record_count"))
+    # the ledger holds the files of the first two loads (dates from 1997-01-01 on)
+    ledger = (files.where(F.col("extraction_date") >= F.lit(testdata.THREE_LOADS[0][0]).cast("date"))
+              .select("file_name", F.lit(REVISION_STAMPS[0]).cast("timestamp_ntz").alias("loaded_at")))
+    return pending_files(files, ledger)

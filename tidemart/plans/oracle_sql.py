@@ -8,7 +8,7 @@ from __future__ import annotations
 
 PRICED_LINES = """
 priced_lines AS (
-  SELECT order_id, product_id, line_number, title, quantity, up, pct, lt,
+  SELECT order_id, product_id, line_number, title, quantity, up, pct, tax, lt,
          CAST(ROUND(lt * (1 - pct * 0.01), 2) AS DECIMAL(14,2)) AS ldt
   FROM (
     SELECT l.l_orderkey AS order_id, l.l_partkey AS product_id, l.l_linenumber AS line_number,
@@ -16,6 +16,7 @@ priced_lines AS (
            CAST(l.l_quantity AS INTEGER) AS quantity,
            CAST(p.p_retailprice AS DECIMAL(14,2)) AS up,
            CAST(CAST(l.l_discount AS DECIMAL(6,4)) * 100 AS DECIMAL(5,2)) AS pct,
+           CAST(CAST(l.l_tax AS DECIMAL(6,4)) * 100 AS DECIMAL(5,2)) AS tax,
            CAST(ROUND(CAST(p.p_retailprice AS DECIMAL(14,2)) * CAST(l.l_quantity AS INTEGER), 2)
                 AS DECIMAL(14,2)) AS lt
     FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
@@ -273,3 +274,86 @@ SELECT date_key, order_item_key,
             AS INTEGER) AS pick_rank
 FROM fact
 QUALIFY pick_rank <= 3"""
+
+_STAMP_CASE = """CASE WHEN extraction_date >= DATE '1999-01-01' THEN TIMESTAMP '2026-01-01 02:00:00'
+            WHEN extraction_date >= DATE '1997-01-01' THEN TIMESTAMP '2026-01-01 01:00:00'
+            ELSE TIMESTAMP '2026-01-01 03:00:00' END"""
+
+_STAMPED = f"""{STAGED_ITEMS},
+stamped AS (
+  SELECT order_id, product_id, quantity, unit_price, line_total, discount_percentage,
+         line_discounted_total, extraction_date, {_STAMP_CASE} AS loaded_at
+  FROM staged_items
+)"""
+
+ORACLE["daily_summary_incremental"] = f"WITH {_STAMPED}, {fact_from('stamped')}\n{summary_select()}"
+
+ORACLE["affected_dates"] = f"""
+WITH {_STAMPED}, {fact_from('stamped')},
+before_last AS (SELECT * FROM fact WHERE loaded_at < TIMESTAMP '2026-01-01 03:00:00'),
+summ AS ({summary_select('before_last')})
+SELECT DISTINCT date_key FROM fact
+WHERE loaded_at > (SELECT coalesce(max(loaded_at), TIMESTAMP '1900-01-01') FROM summ)"""
+
+ORACLE["fact_incremental_revision"] = f"""
+WITH {STAGED_ITEMS},
+v1 AS (
+  SELECT order_id, product_id, quantity, unit_price, line_total, discount_percentage,
+         line_discounted_total, extraction_date, TIMESTAMP '2026-01-01 01:00:00' AS loaded_at
+  FROM staged_items
+),
+v2 AS (
+  SELECT l.l_orderkey AS order_id, l.l_partkey AS product_id,
+         CAST(l.l_quantity AS INTEGER) AS quantity,
+         CAST(CAST(p.p_retailprice AS DECIMAL(14,2)) AS DOUBLE) AS unit_price,
+         CAST(ROUND(CAST(p.p_retailprice AS DECIMAL(14,2)) * CAST(l.l_quantity AS INTEGER), 2) AS DOUBLE)
+           AS line_total,
+         CAST(0 AS DOUBLE) AS discount_percentage,
+         CAST(ROUND(CAST(p.p_retailprice AS DECIMAL(14,2)) * CAST(l.l_quantity AS INTEGER), 2) AS DOUBLE)
+           AS line_discounted_total,
+         CAST(l.l_shipdate AS DATE) AS extraction_date,
+         TIMESTAMP '2026-01-01 02:00:00' AS loaded_at
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+  WHERE l.l_returnflag = 'R'
+),
+allv AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2),
+{fact_from('allv')}
+SELECT * FROM fact"""
+
+ORACLE["fact_schema_sync"] = f"""
+WITH {PRICED_LINES},
+items AS (
+  SELECT pl.order_id, pl.product_id, pl.quantity,
+         CAST(pl.up AS DOUBLE) AS unit_price, CAST(pl.lt AS DOUBLE) AS line_total,
+         CAST(pl.pct AS DOUBLE) AS discount_percentage,
+         CAST(pl.ldt AS DOUBLE) AS line_discounted_total,
+         CAST(pl.tax AS DOUBLE) AS tax_percentage,
+         CAST(o.o_orderdate AS DATE) AS date_key,
+         CAST(pl.order_id AS VARCHAR) || '_' || CAST(pl.product_id AS VARCHAR) AS order_item_key
+  FROM priced_lines pl JOIN orders o ON pl.order_id = o.o_orderkey
+),
+f1 AS (
+  SELECT order_item_key, order_id, product_id, date_key, quantity, unit_price, line_total,
+         line_discounted_total, CAST(NULL AS DOUBLE) AS tax_percentage,
+         TIMESTAMP '2026-01-01 01:00:00' AS loaded_at
+  FROM items WHERE date_key < DATE '1998-01-01'
+  QUALIFY row_number() OVER (PARTITION BY order_item_key ORDER BY date_key DESC, quantity DESC,
+          unit_price DESC, line_total DESC, discount_percentage DESC, line_discounted_total DESC) = 1
+),
+f2 AS (
+  SELECT order_item_key, order_id, product_id, date_key, quantity, unit_price, line_total,
+         line_discounted_total, tax_percentage, TIMESTAMP '2026-01-01 02:00:00' AS loaded_at
+  FROM items WHERE date_key >= DATE '1998-01-01'
+  QUALIFY row_number() OVER (PARTITION BY order_item_key ORDER BY date_key DESC, quantity DESC,
+          unit_price DESC, line_total DESC, line_discounted_total DESC, tax_percentage DESC) = 1
+)
+SELECT * FROM f1 UNION ALL SELECT * FROM f2"""
+
+ORACLE["ledger_pending_files"] = """
+WITH files AS (
+  SELECT 'orders_' || strftime(d, '%Y-%m-%d') || '.json' AS file_name, d AS extraction_date,
+         count(*) AS record_count
+  FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) GROUP BY d
+),
+ledger AS (SELECT file_name FROM files WHERE extraction_date >= DATE '1997-01-01')
+SELECT * FROM files f WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.file_name = f.file_name)"""

@@ -35,12 +35,13 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     discount_percentage, line_total, line_discounted_total (money in decimal).
     """
     lines = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
-                       "l_quantity", "l_discount").select(
+                       "l_quantity", "l_discount", "l_tax").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_linenumber").alias("line_number"),
         F.col("l_quantity").cast("int").alias("quantity"),
         pricing.fraction_to_percent("l_discount").alias("discount_percentage"),
+        pricing.fraction_to_percent("l_tax").alias("tax_percentage"),
     )
     cat = catalogue(spark, sf_dir).select("product_id", "title", "unit_price")
     # The catalogue grows with the data, so no broadcast hint: AQE broadcasts it
@@ -48,8 +49,17 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pricing.price_lines(lines.join(cat, "product_id", "inner"))
 
 
-def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
+def order_headers(spark: SparkSession, sf_dir: str, date_range: tuple | None = None) -> DataFrame:
+    """Order headers; ``date_range=(lo, hi)`` keeps order dates in [lo, hi) (either may
+    be None), filtered on the raw column so the predicate reaches the Parquet scan."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    if date_range:
+        lo, hi = date_range
+        if lo:
+            o = o.where(F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
+        if hi:
+            o = o.where(F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))
+    return o.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.to_date("o_orderdate").alias("extraction_date"),
@@ -62,14 +72,17 @@ STAGED_ITEM_COLUMNS = ["order_id", "product_id", "quantity", "unit_price", "line
                        "loaded_at"]
 
 
-def staged_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_order_items(spark: SparkSession, sf_dir: str, date_range: tuple | None = None,
+                       loaded_at: str | None = None) -> DataFrame:
     """The ``stg_order_items`` shape built straight from the flat tables.
 
     Equivalent to assembling nested orders and flattening them again (tested),
-    without the round trip.
+    without the round trip. ``loaded_at`` overrides the load stamp (one per load).
     """
     lines = priced_lines(spark, sf_dir)
-    heads = order_headers(spark, sf_dir).select("order_id", "extraction_date", "loaded_at")
+    heads = order_headers(spark, sf_dir, date_range).select("order_id", "extraction_date", "loaded_at")
+    if loaded_at:
+        heads = heads.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
     return lines.join(heads, "order_id", "inner").select(
         "order_id", "product_id", "quantity",
         pricing.to_double("unit_price").alias("unit_price"),
@@ -163,3 +176,51 @@ def product_records_with_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     record = F.to_variant_object(F.map_filter(fields, lambda k, v: v.isNotNull()))
     return p.select(F.col("p_partkey").alias("product_id"), record.alias("record"))
+
+
+# ---------------------------------------------------------------- load plans
+
+# Fixed split of the test orders into three loads, the last a backfill of the
+# oldest dates: (first date, end date exclusive, load stamp).
+THREE_LOADS = [
+    ("1997-01-01", "1999-01-01", "2026-01-01 01:00:00"),
+    ("1999-01-01", None, "2026-01-01 02:00:00"),
+    (None, "1997-01-01", "2026-01-01 03:00:00"),
+]
+
+
+def load_items(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
+    lo, hi, stamp = THREE_LOADS[load]
+    return staged_order_items(spark, sf_dir, (lo, hi), stamp)
+
+
+def revised_items(spark: SparkSession, sf_dir: str, stamp: str) -> DataFrame:
+    """A revision load: returned lines (l_returnflag = 'R') re-landed on their ship
+    date with the discount withdrawn, so their key moves to another date."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity",
+                    "l_returnflag", "l_shipdate").where(F.col("l_returnflag") == "R")
+    cat = catalogue(spark, sf_dir).select("product_id", "unit_price")
+    rows = li.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+                     F.col("l_quantity").cast("int").alias("quantity"),
+                     F.to_date("l_shipdate").alias("extraction_date")).join(cat, "product_id")
+    total = pricing.line_total(F.col("unit_price"), F.col("quantity"))
+    return rows.select(
+        "order_id", "product_id", "quantity",
+        pricing.to_double("unit_price").alias("unit_price"),
+        pricing.to_double(total).alias("line_total"),
+        F.lit(0.0).alias("discount_percentage"),
+        pricing.to_double(total).alias("line_discounted_total"),
+        "extraction_date", F.lit(stamp).cast("timestamp_ntz").alias("loaded_at"))
+
+
+def items_with_tax(spark: SparkSession, sf_dir: str, date_range: tuple, stamp: str) -> DataFrame:
+    """A load whose schema changed: ``tax_percentage`` added, ``discount_percentage`` dropped."""
+    base = priced_lines(spark, sf_dir)
+    heads = order_headers(spark, sf_dir, date_range).select("order_id", "extraction_date")
+    return base.join(heads, "order_id").select(
+        "order_id", "product_id", "quantity",
+        pricing.to_double("unit_price").alias("unit_price"),
+        pricing.to_double("line_total").alias("line_total"),
+        pricing.to_double("line_discounted_total").alias("line_discounted_total"),
+        pricing.to_double("tax_percentage").alias("tax_percentage"),
+        "extraction_date", F.lit(stamp).cast("timestamp_ntz").alias("loaded_at"))
