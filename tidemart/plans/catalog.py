@@ -304,3 +304,41 @@ def q_ledger_pending_files(spark, sf_dir):
     ledger = (files.where(F.col("extraction_date") >= F.lit(testdata.THREE_LOADS[0][0]).cast("date"))
               .select("file_name", F.lit(REVISION_STAMPS[0]).cast("timestamp_ntz").alias("loaded_at")))
     return pending_files(files, ledger)
+
+
+# ------------------------------------------------------------------ publish
+
+@register("push_payload_batches")
+def q_push_payload_batches(spark, sf_dir):
+    """S7 + P8 + W3: batches of at most 10 summary rows in date order."""
+    from ..operators.publish import payload_batches
+    b = payload_batches(marts.daily_summary(fact_from_tables(spark, sf_dir)))
+    return b.select("batch_id", "n_records", "first_date", "last_date")
+
+
+@register("push_upsert_counts")
+def q_push_upsert_counts(spark, sf_dir):
+    """S8 with a Parquet target already holding the dates of the first two loads:
+    records created / updated per batch."""
+    from pyspark.sql import functions as F
+    from ..operators.publish import batch_rows, upsert_counts
+    summary = marts.daily_summary(fact_from_tables(spark, sf_dir))
+    target = summary.where(F.col("date_key") >= F.lit(testdata.THREE_LOADS[0][0]).cast("date"))
+    return upsert_counts(batch_rows(summary), target)
+
+
+@register("order_envelope")
+def q_order_envelope(spark, sf_dir):
+    """S5 + A10: landing envelopes of the nested orders, per date."""
+    from pyspark.sql import functions as F
+    from ..sources.landing import build_envelopes
+    from ..sources.raw import landing_file_name
+    from ..operators.assembly import assemble_orders
+    nested = assemble_orders(testdata.order_headers(spark, sf_dir), testdata.priced_lines(spark, sf_dir))
+    env = build_envelopes(nested, "orders")
+    return (env.groupBy("extraction_date", "source")
+               .agg(F.sum("record_count").alias("record_count"),
+                    F.count_if(F.col("record_count") != F.size("data")).alias("count_mismatches"))
+               .select(F.col("extraction_date").cast("date").alias("extraction_date"), "source",
+                       "record_count", "count_mismatches",
+                       landing_file_name("orders", F.col("extraction_date").cast("date")).alias("file_name")))

@@ -357,3 +357,24 @@ WITH files AS (
 ),
 ledger AS (SELECT file_name FROM files WHERE extraction_date >= DATE '1997-01-01')
 SELECT * FROM files f WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.file_name = f.file_name)"""
+
+ORACLE["push_payload_batches"] = f"""
+WITH {FACT}, summ AS ({summary_select()}),
+numbered AS (SELECT date_key, row_number() OVER (ORDER BY date_key) AS rn FROM summ)
+SELECT CAST((rn - 1) // 10 AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS n_records,
+       min(date_key) AS first_date, max(date_key) AS last_date
+FROM numbered GROUP BY 1"""
+
+ORACLE["push_upsert_counts"] = f"""
+WITH {FACT}, summ AS ({summary_select()}),
+numbered AS (SELECT date_key, row_number() OVER (ORDER BY date_key) AS rn FROM summ)
+SELECT CAST((rn - 1) // 10 AS BIGINT) AS batch_id,
+       CAST(sum(CASE WHEN date_key < DATE '1997-01-01' THEN 1 ELSE 0 END) AS INTEGER) AS created,
+       CAST(sum(CASE WHEN date_key >= DATE '1997-01-01' THEN 1 ELSE 0 END) AS INTEGER) AS updated
+FROM numbered GROUP BY 1"""
+
+ORACLE["order_envelope"] = """
+SELECT CAST(o_orderdate AS DATE) AS extraction_date, 'orders' AS source,
+       count(*) AS record_count, CAST(0 AS BIGINT) AS count_mismatches,
+       'orders_' || strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') || '.json' AS file_name
+FROM orders GROUP BY CAST(o_orderdate AS DATE)"""
