@@ -378,3 +378,8 @@ SELECT CAST(o_orderdate AS DATE) AS extraction_date, 'orders' AS source,
        count(*) AS record_count, CAST(0 AS BIGINT) AS count_mismatches,
        'orders_' || strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') || '.json' AS file_name
 FROM orders GROUP BY CAST(o_orderdate AS DATE)"""
+
+ORACLE["stream_file_ingest_summary"] = f"""
+WITH {FACT}
+SELECT date_key, total_orders, total_quantity, total_revenue, total_discounted_revenue
+FROM ({summary_select()})"""
