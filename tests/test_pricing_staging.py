@@ -1,0 +1,88 @@
+"""Pricing (G1/X6), staging from variant (P2-P4, J2, W1/W2) and assembly."""
+
+import datetime as dt
+import json
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from tidemart.functions import pricing
+from tidemart.operators import marts, staging
+from tidemart.operators.assembly import assemble_orders
+from tidemart.sources import testdata
+from tidemart.sources.raw import to_raw
+
+from conftest import SF_SMALL
+
+T0 = dt.datetime(2026, 3, 15, 1)
+T1 = dt.datetime(2026, 3, 16, 1)
+
+
+def raw_rows(spark, docs):
+    """docs: list of (record_json, extraction_date, source_file, loaded_at)."""
+    rows = [(json.dumps({"extraction_date": d, "source_file": f, "record": r}), t) for r, d, f, t in docs]
+    df = spark.createDataFrame(rows, "j string, loaded_at timestamp_ntz")
+    return df.select(F.parse_json("j").alias("raw_data"), "loaded_at")
+
+
+def test_rounding_is_half_up_in_decimal(spark):
+    df = spark.createDataFrame([(Decimal("2.675"), 1, Decimal("0")), (Decimal("1.005"), 1, Decimal("0")),
+                                (Decimal("33.33"), 3, Decimal("15.5"))],
+                               "p decimal(14,3), q int, pct decimal(5,2)")
+    r = df.select(pricing.line_total(F.col("p"), F.col("q")).alias("t"),
+                  pricing.discounted_total(pricing.line_total(F.col("p"), F.col("q")),
+                                           F.col("pct")).alias("d")).collect()
+    # price is cast to cents first (2.675 -> 2.68, 1.005 -> 1.01), then multiplied
+    assert [x.t for x in r] == [Decimal("2.68"), Decimal("1.01"), Decimal("99.99")]
+    assert r[2].d == Decimal("84.49")  # 99.99 * 0.845 = 84.49155 -> 84.49
+
+
+def test_latest_product_version_and_path_casts(spark):
+    p1 = {"id": 1, "title": "a", "category": "c", "price": 10.5, "rating": {"rate": 4.1, "count": 7}}
+    p1b = dict(p1, price=11.0)
+    p2 = {"id": "2", "title": "b", "category": "c", "price": "3.25"}  # text numbers cast; no rating
+    raw = raw_rows(spark, [(p1, "2026-03-15", "products_2026-03-15.json", T0),
+                           (p1b, "2026-03-16", "products_2026-03-16.json", T1),
+                           (p2, "2026-03-15", "products_2026-03-15.json", T0)])
+    out = {r.product_id: r for r in staging.stage_products(raw).collect()}
+    assert set(out) == {1, 2}
+    assert out[1].price == 11.0 and out[1].extraction_date == dt.date(2026, 3, 16)
+    assert out[1].rating_rate == 4.1 and out[1].rating_count == 7
+    assert out[2].price == 3.25 and out[2].rating_rate is None  # missing path -> null
+
+
+def test_flatten_drops_empty_and_missing_item_arrays(spark):
+    item = {"id": 5, "quantity": 2, "price": 1.5, "total": 3.0, "discountPercentage": 10.0,
+            "discountedTotal": 2.7}
+    raw = raw_rows(spark, [({"id": 1, "products": [item, dict(item, id=6)]}, "2026-03-15", "o.json", T0),
+                           ({"id": 2, "products": []}, "2026-03-15", "o.json", T0),
+                           ({"id": 3}, "2026-03-15", "o.json", T0)])
+    items = staging.stage_order_items(raw).collect()
+    assert sorted((r.order_id, r.product_id) for r in items) == [(1, 5), (1, 6)]
+    orders = staging.stage_orders(raw).collect()
+    assert sorted(r.order_id for r in orders) == [1, 2, 3]
+
+
+def test_fact_key_is_null_when_a_side_is_null(spark):
+    df = spark.createDataFrame([(1, None), (1, 2)], "a bigint, b bigint")
+    keys = [r.k for r in df.select(marts.item_key(F.col("a"), F.col("b")).alias("k")).collect()]
+    assert keys == [None, "1_2"]
+
+
+def test_assembly_then_flatten_gives_the_lines_back(spark):
+    lines = testdata.priced_lines(spark, SF_SMALL)
+    heads = testdata.order_headers(spark, SF_SMALL)
+    # a tiny page size forces multi-page orders
+    raw = to_raw(assemble_orders(heads, lines, page_size=2), "orders")
+    back = staging.stage_order_items(raw).drop("loaded_at")
+    direct = testdata.staged_order_items(spark, SF_SMALL).drop("loaded_at")
+    assert back.exceptAll(direct).count() == 0 and direct.exceptAll(back).count() == 0
+    heads_back = staging.stage_orders(raw)
+    assert heads_back.count() == heads.count()
+    multi = raw.groupBy(F.variant_get("raw_data", "$.record.id", "bigint")).count().where("count > 1")
+    assert multi.count() > 0
+
+
+def test_fact_dedup_keeps_one_row_per_key(spark):
+    fact = marts.build_fact(testdata.staged_order_items(spark, SF_SMALL))
+    assert fact.count() == fact.select("order_item_key").distinct().count()

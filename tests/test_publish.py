@@ -1,0 +1,72 @@
+"""Payload batches (S7/P8/W3) and delivery with retries."""
+
+import datetime as dt
+import json
+
+import pytest
+
+from tidemart.operators import publish
+
+SCHEMA = ("date_key date, total_orders bigint, total_quantity bigint, total_revenue double, "
+          "total_discounted_revenue double, loaded_at timestamp_ntz")
+
+
+def summary(spark, n):
+    rows = [(dt.date(2026, 1, 1) + dt.timedelta(days=i), i + 1, 2 * i, 10.5 * i, 9.25 * i,
+             dt.datetime(2026, 1, 2)) for i in range(n)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.mark.parametrize("n,sizes", [(0, []), (10, [10]), (11, [10, 1]), (25, [10, 10, 5])])
+def test_batches_of_ten_in_date_order(spark, n, sizes):
+    b = sorted(publish.payload_batches(summary(spark, n)).collect(), key=lambda r: r.batch_id)
+    assert [r.n_records for r in b] == sizes
+    if b:
+        p = json.loads(b[0].payload)
+        assert p["performUpsert"] == {"fieldsToMergeOn": ["date_key"]}
+        f = p["records"][0]["fields"]
+        assert f == {"date_key": "2026-01-01", "total_orders": 1, "total_quantity": 0,
+                     "total_revenue": 0.0, "total_discounted_revenue": 0.0}
+        dates = [r["fields"]["date_key"] for x in b for r in json.loads(x.payload)["records"]]
+        assert dates == sorted(dates) and len(dates) == n
+
+
+def scripted(statuses):
+    """A transport answering the given statuses in turn (per task), then success."""
+    class T:
+        def __init__(self):
+            self.calls = 0
+
+        def __call__(self, method, payload):
+            s = statuses[self.calls] if self.calls < len(statuses) else 200
+            self.calls += 1
+            recs = json.loads(payload)["records"]
+            body = json.dumps({"createdRecords": recs[:1], "updatedRecords": recs[1:]})
+            return s, body if s < 300 else "{}"
+    return T()
+
+
+def test_retry_on_429_and_500_then_success(spark):
+    waits = []
+    b = publish.payload_batches(summary(spark, 5)).coalesce(1)
+    res = publish.deliver(b, scripted([429, 500]), sleep=waits.append).collect()
+    assert [(r.status, r.attempts, r.created, r.updated) for r in res] == [(200, 3, 1, 4)]
+
+
+def test_client_error_raises_and_retries_give_up(spark):
+    b = publish.payload_batches(summary(spark, 5)).coalesce(1)
+    with pytest.raises(publish.DeliveryError):
+        publish.deliver(b, scripted([400]), sleep=lambda s: None)
+    with pytest.raises(publish.DeliveryError):
+        publish.deliver(b, scripted([500] * 5), sleep=lambda s: None)
+
+
+def test_nothing_sent_without_rows(spark):
+    res = publish.deliver(publish.payload_batches(summary(spark, 0)), scripted([]),
+                          sleep=lambda s: None)
+    assert res.count() == 0
+
+
+def test_lowercase_columns(spark):
+    df = summary(spark, 1).toDF(*[c.upper() for c in summary(spark, 1).columns])
+    assert publish.summary_for_push(df).columns == publish.PUSH_COLUMNS

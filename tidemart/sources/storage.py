@@ -5,7 +5,7 @@ MERGE, so a mart is:
 
   <base>/v<N>/<partition>=<value>/part-*.parquet   data, one folder per version
   <base>/_state/part-*.parquet                      one row per commit:
-      (version, location, schema_json, mark, committed_at)
+      (commit_seq, version, location, schema_json, mark, committed_at)
 
 The latest state row names the live data folder, its schema and the
 high-water mark. It is written *after* the data, so a crash in between leaves
@@ -22,8 +22,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-STATE_SCHEMA = ("version INT, location STRING, schema_json STRING, mark TIMESTAMP_NTZ, "
-                "committed_at TIMESTAMP_NTZ")
+STATE_SCHEMA = ("commit_seq BIGINT, version INT, location STRING, schema_json STRING, "
+                "mark TIMESTAMP_NTZ, committed_at TIMESTAMP_NTZ")
 MARK_FLOOR = _dt.datetime(1900, 1, 1)  # the reference's default mark: 1900-01-01
 
 
@@ -69,7 +69,7 @@ class MartTable:
         if not self._exists(self._state_dir):
             return None
         rows = (self.spark.read.schema(STATE_SCHEMA).parquet(self._state_dir)
-                .orderBy(F.col("version").desc()).limit(1).collect())
+                .orderBy(F.col("commit_seq").desc()).limit(1).collect())
         return rows[0].asDict() if rows else None
 
     def exists(self) -> bool:
@@ -97,7 +97,9 @@ class MartTable:
         return df if self.grain == "day" else df.drop(self.partition_col)
 
     def _commit(self, version: int, location: str, schema: StructType, mark) -> None:
-        row = [(version, location, json.dumps(schema.jsonValue()), mark,
+        st = self.state()
+        seq = (st["commit_seq"] + 1) if st else 1
+        row = [(seq, version, location, json.dumps(schema.jsonValue()), mark,
                 _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))]
         (self.spark.createDataFrame(row, STATE_SCHEMA).coalesce(1)
              .write.mode("append").parquet(self._state_dir))
