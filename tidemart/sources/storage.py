@@ -49,6 +49,7 @@ class MartTable:
         self.grain = grain
         self.partition_col = by if grain == "day" else f"{by}_month"
         self._state_dir = f"{self.base}/_state"
+        self._state_cache = None
 
     def partition_value(self, c: F.Column) -> F.Column:
         """The partition value of a date column."""
@@ -65,12 +66,18 @@ class MartTable:
 
     # ---------------------------------------------------------------- state
     def state(self) -> dict | None:
-        """The latest commit row (one row reaches the driver), or None before the first."""
-        if not self._exists(self._state_dir):
-            return None
-        rows = (self.spark.read.schema(STATE_SCHEMA).parquet(self._state_dir)
-                .orderBy(F.col("commit_seq").desc()).limit(1).collect())
-        return rows[0].asDict() if rows else None
+        """The latest commit row (one row reaches the driver), or None before the first.
+
+        Read once per object and refreshed by our own commits; build a new
+        object to see another writer's commits.
+        """
+        if self._state_cache is None:
+            if not self._exists(self._state_dir):
+                return None
+            rows = (self.spark.read.schema(STATE_SCHEMA).parquet(self._state_dir)
+                    .orderBy(F.col("commit_seq").desc()).limit(1).collect())
+            self._state_cache = rows[0].asDict() if rows else None
+        return self._state_cache
 
     def exists(self) -> bool:
         return self.state() is not None
@@ -103,6 +110,8 @@ class MartTable:
                 _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))]
         (self.spark.createDataFrame(row, STATE_SCHEMA).coalesce(1)
              .write.mode("append").parquet(self._state_dir))
+        keys = ["commit_seq", "version", "location", "schema_json", "mark", "committed_at"]
+        self._state_cache = dict(zip(keys, row[0]))
 
     # ---------------------------------------------------------------- writes
     def _writer(self, df: DataFrame):
