@@ -67,7 +67,7 @@ def test_merge_reads_only_affected_partitions(spark, capsys):
     m.refresh(testdata.load_items(spark, SF_SMALL, 0))
     import datetime as dt
     p = plan(m.fact.read_partitions([dt.date(1997, 3, 1)]), capsys)
-    assert re.search(r"PartitionFilters: \[.*date_key_month", p)
+    assert re.search(r"PartitionFilters: \[.*date_key_(month|year)", p)
 
 
 def test_history_branch_is_pruned_once_past_the_mark(spark, capsys):

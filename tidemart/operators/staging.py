@@ -21,18 +21,17 @@ def _lineage_cols() -> list:
     return [path(RAW, "$.extraction_date", "date").alias("extraction_date"), F.col("loaded_at")]
 
 
-def _tie_break() -> list:
+def _tie_break(columns: list[str]) -> list:
     # loaded_at ties are unbroken in the reference; ours falls back to the file
-    # name, then the full record text, so the pick is the same on every run.
-    return [F.col("loaded_at").desc(), F.col("_source_file").desc(), F.col("_record_text").desc()]
+    # name, then to every typed output column, so the pick is the same on every
+    # run (rows equal in all of them give the same output whichever is kept).
+    rest = [c for c in columns if c != "loaded_at"]
+    return ([F.col("loaded_at").desc_nulls_last(), F.col("_source_file").desc_nulls_last()]
+            + [F.col(c).desc_nulls_last() for c in rest])
 
 
 def _with_tie_cols(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "*",
-        path(RAW, "$.source_file", "string").alias("_source_file"),
-        F.to_json(path(RAW, "$.record", "variant")).alias("_record_text"),
-    )
+    return raw.select("*", path(RAW, "$.source_file", "string").alias("_source_file"))
 
 
 PRODUCT_COLUMNS = ["product_id", "title", "category", "price", "rating_rate", "rating_count",
@@ -47,14 +46,14 @@ def typed_products(raw_products: DataFrame) -> DataFrame:
         path(RAW, "$.record.price", "double").alias("price"),
         path(RAW, "$.record.rating.rate", "double").alias("rating_rate"),
         path(RAW, "$.record.rating.count", "int").alias("rating_count"),
-        *_lineage_cols(), "_source_file", "_record_text",
+        *_lineage_cols(), "_source_file",
     )
 
 
 def stage_products(raw_products: DataFrame) -> DataFrame:
     """stg_products: latest version per product id."""
     typed = typed_products(raw_products)
-    return latest_per_key(typed, ["product_id"], _tie_break()).select(*PRODUCT_COLUMNS)
+    return latest_per_key(typed, ["product_id"], _tie_break(PRODUCT_COLUMNS)).select(*PRODUCT_COLUMNS)
 
 
 ORDER_COLUMNS = ["order_id", "user_id", "order_total", "order_discounted_total",
@@ -70,9 +69,9 @@ def stage_orders(raw_orders: DataFrame) -> DataFrame:
         path(RAW, "$.record.discountedTotal", "double").alias("order_discounted_total"),
         path(RAW, "$.record.totalProducts", "int").alias("total_products"),
         path(RAW, "$.record.totalQuantity", "int").alias("total_quantity"),
-        *_lineage_cols(), "_source_file", "_record_text",
+        *_lineage_cols(), "_source_file",
     )
-    return latest_per_key(typed, ["order_id"], _tie_break()).select(*ORDER_COLUMNS)
+    return latest_per_key(typed, ["order_id"], _tie_break(ORDER_COLUMNS)).select(*ORDER_COLUMNS)
 
 
 ITEM_COLUMNS = ["order_id", "product_id", "quantity", "unit_price", "line_total",

@@ -27,17 +27,17 @@ STATE_SCHEMA = ("commit_seq BIGINT, version INT, location STRING, schema_json ST
 MARK_FLOOR = _dt.datetime(1900, 1, 1)  # the reference's default mark: 1900-01-01
 
 
-GRAINS = ("day", "month")
+GRAINS = ("day", "month", "year")
 
 
 class MartTable:
     """A partitioned Parquet mart keyed by a date column.
 
     ``grain='day'`` partitions on the date itself: the layout for large data,
-    where a daily load rewrites only the days it touches. ``grain='month'``
-    partitions on the month of the date (a derived column, hidden on read): for
-    thin data, where one folder per day would mostly hold tiny files (the daily
-    summary has one row per day).
+    where a daily load rewrites only the days it touches. ``'month'`` and
+    ``'year'`` partition on the month / year of the date (a derived column,
+    hidden on read): for thin data, where one folder per day would mostly hold
+    tiny files (the daily summary has one row per day).
     """
 
     def __init__(self, spark: SparkSession, base: str, by: str = "date_key", grain: str = "day"):
@@ -47,17 +47,19 @@ class MartTable:
         self.base = base.rstrip("/")
         self.by = by
         self.grain = grain
-        self.partition_col = by if grain == "day" else f"{by}_month"
+        self.partition_col = by if grain == "day" else f"{by}_{grain}"
         self._state_dir = f"{self.base}/_state"
         self._state_cache = None
 
     def partition_value(self, c: F.Column) -> F.Column:
         """The partition value of a date column."""
-        return c if self.grain == "day" else F.trunc(c, "month")
+        return c if self.grain == "day" else F.trunc(c, self.grain)
 
     def partition_value_py(self, d):
         """The partition value of a Python date."""
-        return d if self.grain == "day" else d.replace(day=1)
+        if self.grain == "day":
+            return d
+        return d.replace(day=1) if self.grain == "month" else d.replace(month=1, day=1)
 
     def with_partition(self, df: DataFrame) -> DataFrame:
         if self.grain == "day":
