@@ -117,3 +117,11 @@ def test_id_blocks_disjoint_and_overflow(spark):
     assert quality.day_block_overlaps(ids, id_col="block_id").first().failures == 0
     with pytest.raises(sampling.BlockOverflowError):
         sampling.order_id_blocks(df, block=4, strict=True)
+
+
+def test_run_date_parsing():
+    from tidemart.functions.dates import parse_run_date
+    assert parse_run_date("2026-03-15") == D(2026, 3, 15)
+    assert isinstance(parse_run_date(None), D)
+    with pytest.raises(ValueError):
+        parse_run_date("15-03-2026")

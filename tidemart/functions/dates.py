@@ -55,3 +55,10 @@ def date_spine(spark: SparkSession, start: str = DEFAULT_SPINE_START,
 
 def iso_date(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd")
+
+
+def parse_run_date(text: str | None) -> _dt.date:
+    """A run date given as ``YYYY-MM-DD``; today in UTC when none is given."""
+    if text is None:
+        return _dt.datetime.now(_dt.timezone.utc).date()
+    return _dt.datetime.strptime(text, "%Y-%m-%d").date()

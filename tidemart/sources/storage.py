@@ -4,9 +4,12 @@ No table format (Delta/Iceberg) is on the classpath and built-in tables reject
 MERGE, so a mart is:
 
   <base>/v<N>/<partition>=<value>/part-*.parquet   data, one folder per version
-  <base>/_state/part-*.parquet                      one row per commit:
+  <base>/_state/seq=<n>/part-*.parquet               one row per commit:
       (commit_seq, version, location, schema_json, mark, committed_at)
 
+Only the newest ``seq=`` folder is read (found by a metadata listing), so the
+state stays one small read however many commits a table has seen.
+
 The latest state row names the live data folder, its schema and the
 high-water mark. It is written *after* the data, so a crash in between leaves
 the old mark and the rerun repeats the batch; the keyed upsert makes that
@@ -74,13 +77,24 @@ class MartTable:
         object to see another writer's commits.
         """
         if self._state_cache is None:
-            if not self._exists(self._state_dir):
+            latest = self._latest_commit_dir()
+            if latest is None:
                 return None
-            rows = (self.spark.read.schema(STATE_SCHEMA).parquet(self._state_dir)
-                    .orderBy(F.col("commit_seq").desc()).limit(1).collect())
+            rows = self.spark.read.schema(STATE_SCHEMA).parquet(latest).limit(1).collect()
             self._state_cache = rows[0].asDict() if rows else None
         return self._state_cache
 
+    def _latest_commit_dir(self) -> str | None:
+        p, fs = self._hadoop_path(self._state_dir)
+        if not fs.exists(p):
+            return None
+        names = [st.getPath().getName() for st in fs.listStatus(p)
+                 if st.isDirectory() and st.getPath().getName().startswith("seq=")]
+        # a commit folder without its success marker is an interrupted write: ignore it
+        done = [n for n in names if fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+            f"{self._state_dir}/{n}/_SUCCESS"))]
+        return f"{self._state_dir}/{max(done)}" if done else None
+
     def exists(self) -> bool:
         return self.state() is not None
 
@@ -111,7 +125,7 @@ class MartTable:
         row = [(seq, version, location, json.dumps(schema.jsonValue()), mark,
                 _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))]
         (self.spark.createDataFrame(row, STATE_SCHEMA).coalesce(1)
-             .write.mode("append").parquet(self._state_dir))
+             .write.mode("errorifexists").parquet(f"{self._state_dir}/seq={seq:012d}"))
         keys = ["commit_seq", "version", "location", "schema_json", "mark", "committed_at"]
         self._state_cache = dict(zip(keys, row[0]))
 
