@@ -290,6 +290,17 @@ def q_affected_dates(spark, sf_dir):
     return affected_dates(fact, summary_before_last)
 
 
+@register("affected_summary_recompute")
+def q_affected_summary_recompute(spark, sf_dir):
+    """A2 + J3 + P11: summary rows of the dates the last load touched, recomputed
+    over their full history (the incremental model's own query)."""
+    from ..operators.incremental import recompute_affected
+    loads = [testdata.load_items(spark, sf_dir, i) for i in range(len(testdata.THREE_LOADS))]
+    fact = marts.build_fact(_union(loads))
+    summary_before_last = marts.daily_summary(marts.build_fact(_union(loads[:2])))
+    return recompute_affected(fact, summary_before_last)
+
+
 @register("ledger_pending_files")
 def q_ledger_pending_files(spark, sf_dir):
     """S4 + J4: landing files (one per source and date) not yet in the loaded-file ledger."""

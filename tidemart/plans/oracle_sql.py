@@ -383,3 +383,14 @@ ORACLE["stream_file_ingest_summary"] = f"""
 WITH {FACT}
 SELECT date_key, total_orders, total_quantity, total_revenue, total_discounted_revenue
 FROM ({summary_select()})"""
+
+ORACLE["affected_summary_recompute"] = f"""
+WITH {_STAMPED}, {fact_from('stamped')},
+before_last AS (SELECT * FROM fact WHERE loaded_at < TIMESTAMP '2026-01-01 03:00:00'),
+summ AS ({summary_select('before_last')}),
+affected_fact AS (
+  SELECT * FROM fact WHERE date_key IN (
+    SELECT DISTINCT date_key FROM fact
+    WHERE loaded_at > (SELECT coalesce(max(loaded_at), TIMESTAMP '1900-01-01') FROM summ))
+)
+{summary_select('affected_fact')}"""
