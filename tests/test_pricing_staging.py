@@ -86,3 +86,12 @@ def test_assembly_then_flatten_gives_the_lines_back(spark):
 def test_fact_dedup_keeps_one_row_per_key(spark):
     fact = marts.build_fact(testdata.staged_order_items(spark, SF_SMALL))
     assert fact.count() == fact.select("order_item_key").distinct().count()
+
+
+def test_latest_products_merge_in_steps_equals_one_pass(spark):
+    raw = testdata.raw_products(spark, SF_SMALL)
+    cut = F.col("loaded_at") < F.lit("1998-06-01").cast("timestamp_ntz")
+    step = staging.merge_latest_products(staging.merge_latest_products(None, raw.where(cut)),
+                                         raw.where(~cut)).select(*staging.PRODUCT_COLUMNS)
+    once = staging.stage_products(raw)
+    assert step.exceptAll(once).count() == 0 and once.exceptAll(step).count() == 0

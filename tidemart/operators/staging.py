@@ -50,10 +50,27 @@ def typed_products(raw_products: DataFrame) -> DataFrame:
     )
 
 
+def typed_products_schema() -> str:
+    return ("product_id bigint, title string, category string, price double, rating_rate double, "
+            "rating_count int, extraction_date date, loaded_at timestamp_ntz, _source_file string")
+
+
 def stage_products(raw_products: DataFrame) -> DataFrame:
     """stg_products: latest version per product id."""
-    typed = typed_products(raw_products)
-    return latest_per_key(typed, ["product_id"], _tie_break(PRODUCT_COLUMNS)).select(*PRODUCT_COLUMNS)
+    return merge_latest_products(None, raw_products).select(*PRODUCT_COLUMNS)
+
+
+def merge_latest_products(latest: DataFrame | None, raw_new: DataFrame) -> DataFrame:
+    """Latest version per product over a previous result plus new raw rows.
+
+    "Latest" is associative, so latest(old + new) = latest(latest(old) + new):
+    a run only reads the raw rows past the previous result's mark. Keeps the
+    ``_source_file`` tie-break column so later merges pick as a full rebuild would.
+    """
+    typed = typed_products(raw_new)
+    if latest is not None:
+        typed = latest.select(*typed.columns).unionByName(typed)
+    return latest_per_key(typed, ["product_id"], _tie_break(PRODUCT_COLUMNS))
 
 
 ORDER_COLUMNS = ["order_id", "user_id", "order_total", "order_discounted_total",

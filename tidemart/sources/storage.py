@@ -161,6 +161,20 @@ class MartTable:
             self._delete(self.partition_path(value))
         self._commit(st["version"], st["location"], self.schema(), mark)
 
+    def vacuum(self) -> list:
+        """Remove data folders of versions older than the live one (after a commit)."""
+        st = self.state()
+        if st is None:
+            return []
+        p, fs = self._hadoop_path(self.base)
+        gone = []
+        for f in fs.listStatus(p):
+            name = f.getPath().getName()
+            if f.isDirectory() and name.startswith("v") and f"{self.base}/{name}" != st["location"]:
+                fs.delete(f.getPath(), True)
+                gone.append(name)
+        return gone
+
     def partition_path(self, value) -> str:
         return f"{self.state()['location']}/{self.partition_col}={value}"
 
