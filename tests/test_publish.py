@@ -70,3 +70,19 @@ def test_nothing_sent_without_rows(spark):
 def test_lowercase_columns(spark):
     df = summary(spark, 1).toDF(*[c.upper() for c in summary(spark, 1).columns])
     assert publish.summary_for_push(df).columns == publish.PUSH_COLUMNS
+
+
+def test_push_to_parquet_target_upserts_by_key(spark):
+    from pyspark.sql import functions as F
+    from tidemart.session import scratch_dir
+    from tidemart.sources.storage import MartTable
+    target = MartTable(spark, scratch_dir(spark, "t-push"), "date_key", "year")
+    s = summary(spark, 25)
+    first = publish.push_to_table(s.where(F.col("date_key") >= dt.date(2026, 1, 11)), target)
+    assert sorted((r.created, r.updated) for r in first.collect()) == [(5, 0), (10, 0)]
+    changed = s.withColumn("total_orders", F.col("total_orders") + 100)
+    again = publish.push_to_table(changed, target)
+    assert sorted((r.batch_id, r.created, r.updated) for r in again.collect()) == \
+        [(0, 10, 0), (1, 0, 10), (2, 0, 5)]
+    got = {r.date_key: r.total_orders for r in target.read().collect()}
+    assert len(got) == 25 and got[dt.date(2026, 1, 1)] == 101
