@@ -161,6 +161,13 @@ class MartTable:
             self._delete(self.partition_path(value))
         self._commit(st["version"], st["location"], self.schema(), mark)
 
+    def append_rows(self, df: DataFrame, mark) -> None:
+        """Add rows without rewriting anything (for tables where duplicates are harmless)."""
+        st = self.state()
+        names = [f.name for f in self.data_schema().fields]
+        self._writer(df.select(*names)).mode("append").parquet(st["location"])
+        self._commit(st["version"], st["location"], self.schema(), mark)
+
     def vacuum(self) -> list:
         """Remove data folders of versions older than the live one (after a commit)."""
         st = self.state()
