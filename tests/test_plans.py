@@ -2,10 +2,9 @@
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
-from tidemart.operators import marts, reports
+from tidemart.operators import reports
 from tidemart.operators.incremental import Marts
 from tidemart.plans.catalog import QUERIES, fact_from_tables
 from tidemart.session import scratch_dir
