@@ -125,3 +125,11 @@ def test_run_date_parsing():
     assert isinstance(parse_run_date(None), D)
     with pytest.raises(ValueError):
         parse_run_date("15-03-2026")
+
+
+def test_scale_conf_sizes_partitions_to_the_data():
+    from tidemart.session import scale_conf
+    big = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 819200
+    small = scale_conf(10 * 1024 ** 2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

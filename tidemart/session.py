@@ -79,3 +79,33 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 128 * 1024 ** 2) -> dict:
+    """Settings sized to the data so that partitions fit executor memory.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (never fewer than 2 per core); AQE then merges small ones toward the
+    advisory size and splits skewed ones. Scan splits are 256 MB. For 100 TB on
+    1,000 executors x 8 cores this gives ~800,000 initial shuffle partitions,
+    which AQE merges down at run time.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 ** 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * 1024 ** 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        # a dimension is broadcast only when AQE measured it below this size
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, total_cores: int) -> dict:
+    conf = scale_conf(input_bytes, total_cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
