@@ -133,3 +133,22 @@ def test_scale_conf_sizes_partitions_to_the_data():
     assert int(big["spark.sql.shuffle.partitions"]) == 819200
     small = scale_conf(10 * 1024 ** 2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_rollup_reports_equal_row_level_reports(spark):
+    from tidemart.plans.catalog import fact_from_tables
+    from conftest import SF_SMALL
+    fact = fact_from_tables(spark, SF_SMALL)
+    # a dimension missing some products: unknown products must not form groups
+    dim = (fact.select("product_id").distinct().where("product_id % 7 <> 0")
+           .select("product_id", F.concat(F.lit("t"), (F.col("product_id") % 13).cast("string")).alias("title"),
+                   F.concat(F.lit("c"), (F.col("product_id") % 3).cast("string")).alias("category"),
+                   F.lit(4.5).alias("rating_rate"), F.lit(9).alias("rating_count")))
+    joined = reports.fact_with_product(fact, dim)
+    roll = reports.product_rollup(fact, dim)
+    pairs = [(reports.kpi_row(joined), reports.kpi_row_from(roll, fact)),
+             (reports.revenue_by_category(joined), reports.revenue_by_category_from(roll)),
+             (reports.top_products(joined), reports.top_products_from(roll)),
+             (reports.price_vs_rating(joined), reports.price_vs_rating_from(roll))]
+    for a, b in pairs:
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

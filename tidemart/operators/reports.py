@@ -81,3 +81,54 @@ def daily_trend(summary: DataFrame) -> DataFrame:
     n_days = summary.select(F.count(F.lit(1))).scalar()
     return (summary.select("date_key", "total_revenue", (n_days < 2).alias("few_days"))
                    .orderBy("date_key"))
+
+
+# ------------------------------------------------------------------ pre-aggregated form
+# R1-R4 from one per-product roll-up of the fact: the fact is scanned and
+# combined map-side once, and the product join runs on one row per product
+# instead of one per fact row. Exact decimal sums make the results identical
+# to the row-level forms above.
+
+def product_rollup(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """One row per product: revenue, quantity, item count, discount basis points,
+    the first row's price (by date, order, price), plus the product's dimension
+    columns (left join: an unknown product keeps nulls)."""
+    per = fact.groupBy("product_id").agg(
+        F.sum(F.col("line_total").cast(pricing.MONEY)).cast(pricing.MONEY_SUM).alias("revenue"),
+        F.sum("quantity").cast("bigint").alias("quantity"),
+        F.count("discount_percentage").alias("n_pct"),
+        F.sum(_bp("discount_percentage")).alias("bp"),
+        F.min(F.struct("date_key", "order_id", "unit_price")).alias("first"),
+    )
+    dim = dim_product.select("product_id", "title", "category", "rating_rate", "rating_count")
+    return per.join(dim, "product_id", "left")
+
+
+def kpi_row_from(rollup: DataFrame, fact: DataFrame) -> DataFrame:
+    """R1 from the roll-up; distinct orders still need the fact (a one-column scan)."""
+    sums = rollup.agg(
+        F.coalesce(pricing.to_double(F.round(F.sum("revenue"), 2)), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(F.sum("quantity").cast("bigint"), F.lit(0).cast("bigint")).alias("items_sold"),
+        F.try_divide(F.try_divide(F.sum("bp").cast("double"), F.sum("n_pct").cast("double")),
+                     F.lit(100.0)).alias("avg_discount"))
+    orders = fact.select(F.countDistinct("order_id").alias("total_orders"))
+    return sums.select("total_revenue", orders.scalar().alias("total_orders"), "items_sold",
+                       "avg_discount")
+
+
+def revenue_by_category_from(rollup: DataFrame) -> DataFrame:
+    return (rollup.where(F.col("category").isNotNull()).groupBy("category")
+                  .agg(pricing.to_double(F.round(F.sum("revenue"), 2)).alias("line_total"))
+                  .orderBy(F.col("line_total").desc(), F.col("category")))
+
+
+def top_products_from(rollup: DataFrame, n: int = 10) -> DataFrame:
+    top = (rollup.where(F.col("title").isNotNull()).groupBy("title")
+                 .agg(F.sum("quantity").cast("bigint").alias("quantity"))
+                 .orderBy(F.col("quantity").desc(), F.col("title")).limit(n))
+    return top.orderBy(F.col("quantity"), F.col("title").desc())
+
+
+def price_vs_rating_from(rollup: DataFrame) -> DataFrame:
+    return rollup.select("product_id", "rating_rate", F.col("first.unit_price").alias("unit_price"),
+                         "rating_count", "title")

@@ -130,32 +130,38 @@ def q_fact_product_join(spark, sf_dir):
     return joined_fact(spark, sf_dir)
 
 
+def rollup(spark, sf_dir):
+    from ..operators import reports, staging
+    dim = marts.dim_product(staging.stage_products(testdata.raw_products(spark, sf_dir)))
+    return reports.product_rollup(fact_from_tables(spark, sf_dir), dim)
+
+
 @register("kpi_row")
 def q_kpi_row(spark, sf_dir):
-    """R1 + A3."""
+    """R1 + A3 (from the per-product roll-up; distinct orders from the fact)."""
     from ..operators import reports
-    return reports.kpi_row(joined_fact(spark, sf_dir))
+    return reports.kpi_row_from(rollup(spark, sf_dir), fact_from_tables(spark, sf_dir))
 
 
 @register("revenue_by_category")
 def q_revenue_by_category(spark, sf_dir):
-    """R2 + A4 + O2."""
+    """R2 + A4 + O2 (from the per-product roll-up)."""
     from ..operators import reports
-    return reports.revenue_by_category(joined_fact(spark, sf_dir))
+    return reports.revenue_by_category_from(rollup(spark, sf_dir))
 
 
 @register("top10_products")
 def q_top10_products(spark, sf_dir):
-    """R3 + A5 + O3 + O4 (top-k is the feature: limit 10)."""
+    """R3 + A5 + O3 + O4 (top-k is the feature: limit 10), from the roll-up."""
     from ..operators import reports
-    return reports.top_products(joined_fact(spark, sf_dir), 10)
+    return reports.top_products_from(rollup(spark, sf_dir), 10)
 
 
 @register("price_vs_rating")
 def q_price_vs_rating(spark, sf_dir):
-    """R4 + A7: one row per product."""
+    """R4 + A7: one row per product (first row by date, order, price), from the roll-up."""
     from ..operators import reports
-    return reports.price_vs_rating(joined_fact(spark, sf_dir))
+    return reports.price_vs_rating_from(rollup(spark, sf_dir))
 
 
 @register("daily_trend")
