@@ -90,10 +90,14 @@ class MartTable:
             return None
         names = [st.getPath().getName() for st in fs.listStatus(p)
                  if st.isDirectory() and st.getPath().getName().startswith("seq=")]
-        # a commit folder without its success marker is an interrupted write: ignore it
-        done = [n for n in names if fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-            f"{self._state_dir}/{n}/_SUCCESS"))]
-        return f"{self._state_dir}/{max(done)}" if done else None
+        # A commit folder holds its row once the write job committed (an
+        # interrupted write leaves only ``_temporary``); newest complete one wins.
+        for n in sorted(names, reverse=True):
+            d, _ = self._hadoop_path(f"{self._state_dir}/{n}")
+            if any(f.getPath().getName().endswith(".parquet") and not
+                   f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(d)):
+                return f"{self._state_dir}/{n}"
+        return None
 
     def exists(self) -> bool:
         return self.state() is not None
