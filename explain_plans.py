@@ -22,7 +22,7 @@ def plan(df, mode="formatted"):
 
 
 sections = []
-for name in ["daily_sales_summary", "kpi_row", "top10_products", "stable_daily_sample"]:
+for name in ["daily_sales_summary", "revenue_by_category", "top10_products", "stable_daily_sample"]:
     sections.append((name, plan(QUERIES[name](spark, SF), "simple")))
 
 m = Marts(spark, scratch_dir(spark, "plans"))
