@@ -152,3 +152,24 @@ def test_rollup_reports_equal_row_level_reports(spark):
              (reports.price_vs_rating(joined), reports.price_vs_rating_from(roll))]
     for a, b in pairs:
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_work_folders_live_under_the_sessions_checkpoint_dir(spark):
+    from tidemart.session import apply_scale_conf, checkpoint_root, scratch_dir
+    root = checkpoint_root(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert configured and root == configured.rstrip("/")
+    a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert a.startswith(root) and b.startswith(root) and a != b
+    from tidemart.session import scale_conf
+    keys = list(scale_conf(1, 1))
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        conf = apply_scale_conf(spark, 10 * 1024 ** 3, 4)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"] == "80"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
