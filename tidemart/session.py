@@ -53,17 +53,19 @@ def apply_job_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for durable state: ``spark.checkpoint.dir`` if the cluster set it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The shared folder for durable state: ``spark.checkpoint.dir`` if the cluster set it.
+
+    Only a ``local[...]`` master, whose driver is its one executor, may go without the setting and
+    gets a temporary folder; anywhere else a folder of the driver's machine would be lost to executors.
+    """
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        # Only reached where nothing is configured (local runs, tests).
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    jdir = spark.sparkContext.getCheckpointDir()
-    if not jdir:
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
