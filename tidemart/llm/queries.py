@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import bpe, url_filters
+from tidemart.llm import bpe, fingerprints, packing, url_filters
 from tidemart.llm.common import apply_job_conf, documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), VOCABULARY)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(documents(spark, sf_dir))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_job_conf(spark)
     values = ", ".join(f"('{r}', '{a}')" for r, a in URL_RULES)
@@ -25,9 +29,15 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), VOCABULARY)
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op6_fingerprints": op6_fingerprints,
     "op8_url_filters": op8_url_filters,
+    "op10_packing": op10_packing,
 }
 
 ORACLE = {
