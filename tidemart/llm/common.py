@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemart.session import apply_job_conf, checkpoint_root, scratch_dir
 
-__all__ = ["apply_job_conf", "block_of", "components", "documents", "keyed", "n_blocks",
+__all__ = ["apply_job_conf", "block_of", "components", "documents", "keyed", "labels", "n_blocks",
            "per_process", "pin", "text_bytes"]
 
 
@@ -20,6 +20,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text), null text as empty: further columns, whatever their names, don't clash."""
     return docs.select(docs[id_col].cast("long").alias("doc_id"),

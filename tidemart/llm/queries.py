@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import bpe, fingerprints, packing, url_filters
-from tidemart.llm.common import apply_job_conf, documents
+from tidemart.llm import bpe, fingerprints, packing, quality_rules, toxicity, url_filters
+from tidemart.llm.common import apply_job_conf, documents, labels
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -18,10 +18,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), VOCABULARY)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(documents(spark, sf_dir))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_job_conf(spark)
     values = ", ".join(f"('{r}', '{a}')" for r, a in URL_RULES)
@@ -35,7 +43,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op3_quality_rules": op3_quality_rules,
     "op6_fingerprints": op6_fingerprints,
+    "op7_toxicity": op7_toxicity,
     "op8_url_filters": op8_url_filters,
     "op10_packing": op10_packing,
 }
