@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import bpe, fingerprints, packing, quality_rules, toxicity, url_filters
+from tidemart.llm import bpe, fingerprints, lm_scoring, packing, quality_rules, toxicity, url_filters
 from tidemart.llm.common import apply_job_conf, documents, labels
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -14,6 +14,10 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(documents(spark, sf_dir), VOCABULARY)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), VOCABULARY)
 
@@ -42,6 +46,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op6_fingerprints": op6_fingerprints,
