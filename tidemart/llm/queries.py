@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import bpe, fingerprints, lm_scoring, packing, quality_rules, toxicity, url_filters
+from tidemart.llm import bpe, fingerprints, lm_scoring, packing, quality_rules, suffix_dedup, toxicity, url_filters
 from tidemart.llm.common import apply_job_conf, documents, labels
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +41,10 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), VOCABULARY)
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op6_fingerprints": op6_fingerprints,
     "op7_toxicity": op7_toxicity,
     "op8_url_filters": op8_url_filters,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
 }
 
