@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import bpe, fingerprints, lm_scoring, packing, quality_rules, suffix_dedup, toxicity, url_filters
+from tidemart.llm import bpe, fingerprints, jaccard_join, lm_scoring, packing, quality_rules, suffix_dedup, toxicity, url_filters
 from tidemart.llm.common import apply_job_conf, documents, labels
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    return jaccard_join.join(documents(spark, sf_dir))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(documents(spark, sf_dir))
 
@@ -53,6 +58,7 @@ QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op4_jaccard_join": op4_jaccard_join,
     "op6_fingerprints": op6_fingerprints,
     "op7_toxicity": op7_toxicity,
     "op8_url_filters": op8_url_filters,
