@@ -1,0 +1,18 @@
+import pytest
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+# names that operators use inside, to show that extra columns don't clash
+EXTRA = ["block", "bucket", "node", "root", "rep", "held_out", "score", "line", "pos", "tid", "n", "length"]
+
+
+@pytest.fixture()
+def make_docs(spark):
+    """DataFrame of (doc_id, text) rows with the other columns of documents and extra, clashing ones."""
+
+    def make(rows, partitions=3):
+        from pyspark.sql import functions as F
+        full = [(d, t, "en", "src0", len(t or "")) for d, t in rows]
+        df = spark.createDataFrame(full, DOCS).repartition(partitions)
+        return df.select("*", *(F.lit(f"x-{c}").alias(c) for c in EXTRA))
+
+    return make

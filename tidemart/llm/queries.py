@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import bpe, fingerprints, jaccard_join, lm_scoring, packing, quality_rules, suffix_dedup, toxicity, url_filters
+from tidemart.llm import (
+    bpe,
+    fingerprints,
+    jaccard_join,
+    line_dedup,
+    lm_scoring,
+    packing,
+    quality_rules,
+    suffix_dedup,
+    toxicity,
+    url_filters,
+)
 from tidemart.llm.common import apply_job_conf, documents, labels
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +42,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(documents(spark, sf_dir))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    return line_dedup.report(documents(spark, sf_dir))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(documents(spark, sf_dir))
 
@@ -59,6 +75,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_line_dedup": op5_line_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op7_toxicity": op7_toxicity,
     "op8_url_filters": op8_url_filters,
@@ -67,6 +84,51 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op5_line_dedup": r"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS text_id FROM documents),
+        raw AS (
+            SELECT doc_id, text_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos,
+                   unnest(string_split(text, chr(10))) AS raw
+            FROM t),
+        cleaned AS (
+            SELECT doc_id, text_id, pos,
+                   trim(translate(raw, chr(9) || chr(13) || chr(11) || chr(12), '    '), ' ') AS line
+            FROM raw),
+        lines AS (
+            SELECT *, regexp_replace(line, '\S*[0-9]\S*', '<*>', 'g') AS masked,
+                   len(string_split(line, ' ')) AS n,
+                   regexp_replace(array_to_string(string_split(line, ' ')[1:2], ' '), '\S*[0-9]\S*', '<*>', 'g') AS lead
+            FROM cleaned WHERE line <> ''),
+        leaves AS (SELECT n, lead FROM lines GROUP BY n, lead HAVING count(DISTINCT text_id) >= 10),
+        full_lines AS (SELECT * FROM lines SEMI JOIN leaves USING (n, lead)),
+        kinds AS (SELECT n, lead, masked, count(DISTINCT text_id) AS texts FROM full_lines GROUP BY ALL),
+        tokens AS (
+            SELECT n, lead, masked, texts, generate_subscripts(string_split(masked, ' '), 1) AS i,
+                   unnest(string_split(masked, ' ')) AS token
+            FROM kinds),
+        fixed AS (
+            SELECT n, lead, i, token FROM tokens WHERE token <> '<*>'
+            GROUP BY ALL HAVING sum(texts) >= 10),
+        shapes AS (
+            SELECT a.n, a.lead, a.masked,
+                   string_agg(CASE WHEN f.token IS NULL THEN '<*>' ELSE a.token END, ' ' ORDER BY a.i) AS template
+            FROM tokens a LEFT JOIN fixed f ON a.n = f.n AND a.lead = f.lead AND a.i = f.i AND a.token = f.token
+            GROUP BY a.n, a.lead, a.masked
+            HAVING avg(CASE WHEN f.token IS NULL THEN 0 ELSE 1 END) >= 0.5),
+        found AS (
+            SELECT s.doc_id, s.text_id, s.pos, s.n, s.lead, p.template
+            FROM full_lines s JOIN shapes p ON s.n = p.n AND s.lead = p.lead AND s.masked = p.masked),
+        recurring AS (
+            SELECT n, lead, template, min((doc_id, pos)) AS first
+            FROM found GROUP BY n, lead, template HAVING count(DISTINCT text_id) >= 10),
+        gone AS (
+            SELECT DISTINCT f.doc_id, f.text_id, f.pos FROM found f JOIN recurring r USING (n, lead, template)
+            WHERE (f.doc_id, f.pos) <> r.first)
+        SELECT t.doc_id, count(*) AS n_lines, count(g.pos) AS n_dropped,
+               coalesce(string_agg(g.pos::VARCHAR, ',' ORDER BY g.pos), '') AS dropped_lines,
+               sha256(coalesce(string_agg(raw.raw, chr(10) ORDER BY raw.pos) FILTER (g.pos IS NULL), '')) AS kept_sha256
+        FROM t JOIN raw USING (doc_id, text_id) LEFT JOIN gone g USING (doc_id, text_id, pos)
+        GROUP BY t.doc_id""",
     "op8_url_filters": """
         WITH u AS (
             SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
