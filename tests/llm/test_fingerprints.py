@@ -1,0 +1,71 @@
+import hashlib
+import os
+import random
+
+import pytest
+
+from tidemart.llm import fingerprints as fp
+
+
+def test_common_extension_by_brute_force():
+    rng = random.Random(1)
+    for _ in range(30):
+        a = "".join(rng.choice("aab é") for _ in range(rng.randint(0, 60)))
+        b = a[rng.randint(0, 20):] + "".join(rng.choice("ab") for _ in range(20))
+        pa, pb = fp.Prefixes(fp.code_points(a)), fp.Prefixes(fp.code_points(b))
+        for _ in range(20):
+            i, j = rng.randint(0, len(a)), rng.randint(0, len(b))
+            assert fp.common_extension(pa, i, pb, j) == len(os.path.commonprefix([a[i:], b[j:]]))
+
+
+def test_whole_hash_and_spans_dont_depend_on_stretches(monkeypatch):
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcdé🙂 ") for _ in range(1000))
+    whole = fp.Fingerprinter()(text).split(":")
+    prefixes = fp.Prefixes(fp.code_points(text))
+    assert whole[1] == "".join(f"{x:08x}" for x in prefixes.span(0, len(text)))
+    monkeypatch.setattr(fp, "STEP", 37)
+    make = fp.Fingerprinter()
+    assert make(text).split(":")[:2] == whole[:2]
+    # sixteen distinct spans, in whatever stretch they stand
+    assert len(set(make("abcdefghijklmnop" * 500).split(":")[2][i:i + 4] for i in range(0, 512, 4)) - {"ffff"}) <= 16
+    assert fp.likeness(make("z" + text), make(text)) > 0.9
+
+
+def test_likeness():
+    make = fp.Fingerprinter()
+    rng = random.Random(3)
+    a, b = ("".join(rng.choice("abcdefgh ") for _ in range(4000)) for _ in range(2))
+    assert fp.likeness(make(a), make(a)) == 1
+    assert fp.likeness(make(a), make(b)) < 0.1
+    assert 0.15 < fp.likeness(make(a), make(fp.edited(a, b))) < 0.6
+    assert fp.likeness(make(a), make(a[:2000] + "#" + a[2000:])) > 0.9
+    assert make("") != make("a") and fp.likeness(make(""), make("")) == 1
+
+
+@pytest.mark.parametrize("block_bytes", [300, 1 << 24])
+def test_neighbours_by_brute_force(make_docs, block_bytes):
+    rng = random.Random(4)
+    ids = rng.sample(range(-50, 500), 60)
+    rows = [(d, rng.choice([None, "", "a", "é🙂" * rng.randint(1, 40), "word " * rng.randint(1, 60)])) for d in ids]
+    rows += [(None, "no id"), (None, None)]
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    make, want = fp.Fingerprinter(), []
+    for (d, t), (_, u) in zip(order, order[1:] + order[:1], strict=True):
+        t, u = t or "", u or ""
+        new = fp.edited(t, u)
+        assert len(new) == len(t) - len(t) // 2 + min(len(t) // 2, len(u))
+        want.append((d, len(t), hashlib.sha256(new.encode()).hexdigest(), make(t), make(new),
+                     fp.likeness(make(t), make(new)), fp.likeness(make(t), make(u))))
+    got = fp.compare_neighbours(make_docs(rows), block_bytes=block_bytes).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_repeated_rows_null_ids_one_row_and_empty_table(make_docs):
+    got = fp.compare_neighbours(make_docs([(5, "same text"), (5, "same text"), (4, "x")])).collect()
+    assert sorted((r.doc_id, r.near_next) for r in got) == [(4, 0.0), (5, 0.0), (5, 1.0)]
+    only = fp.compare_neighbours(make_docs([(None, "abcd"), (None, "zz")])).collect()
+    assert sorted(r.edited_sha256 for r in only) == sorted(hashlib.sha256(x).hexdigest() for x in (b"abzz", b"za"))
+    one = fp.compare_neighbours(make_docs([(7, "abcd")])).collect()
+    assert [(r.doc_id, r.edited_sha256, r.near_next) for r in one] == [(7, hashlib.sha256(b"abab").hexdigest(), 1.0)]
+    assert fp.compare_neighbours(make_docs([])).count() == 0

@@ -3,9 +3,9 @@
 Sequences are planned on the histogram of piece lengths, which has at most
 ``capacity`` entries however many pieces there are. Going from the longest
 length down, the gap that a length leaves is looked up among the single
-lengths, the sums of two and the sums of three that are still available, and
-whole batches of such combinations, as many as the counts allow, fill sequences
-exactly. What no combination completes is placed best-fit, longest first. The
+lengths, then in further rounds among the sums of two and of three that are
+still available, and whole batches of such combinations, as many as the counts
+allow, fill sequences exactly. What no combination completes is placed best-fit, longest first. The
 plan gives every length consecutive rank ranges; the pieces are then numbered
 within their length by Spark and each looks its place up by its rank.
 
@@ -101,6 +101,12 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 10
 
 
 def fill(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The shortest of the plans that use exact complements of up to one, two or three pieces."""
+    plans = [fill_with(counts, capacity, most) for most in (3, 2, 1)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def fill_with(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
     """Sequences for the counted lengths, as (lengths of one sequence, how many such sequences)."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for n, k in counts.items():
@@ -124,24 +130,22 @@ def fill(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
         return big[(2 * big >= total) & (big < total)][::-1]
 
     take(capacity)
-    for a in range(capacity - 1, 0, -1):
-        if not left[a]:
-            continue
-        gap = capacity - a
-        take(a, gap)
-        for b in pair_sums(gap).tolist():
+    # pieces of up to half the capacity are what the others' gaps are filled with
+    longest_first = range(capacity - 1, capacity // 2 - (capacity % 2 == 0), -1)
+    for a in longest_first:
+        if left[a]:
+            take(a, capacity - a)
+    for a in longest_first:
+        for b in pair_sums(capacity - a).tolist() if left[a] and most >= 2 else ():
             if not left[a]:
                 break
-            take(a, b, gap - b)
-        for b in np.flatnonzero(left[:gap])[::-1].tolist():
-            if not left[a]:
-                break
-            if b and gap - b > 1:
-                for c in pair_sums(gap - b).tolist():
-                    if c <= b:
-                        take(a, b, c, gap - b - c)
-                    if not left[a] or not left[b]:
-                        break
+            take(a, b, capacity - a - b)
+    for a in longest_first:
+        gap = capacity - a
+        for b in np.flatnonzero(left[:gap - 1])[::-1].tolist() if left[a] and most >= 3 else ():
+            for c in pair_sums(gap - b).tolist() if left[a] and left[b] else ():
+                if c <= b and left[a] and left[b]:
+                    take(a, b, c, gap - b - c)
     # residuals: best fit, longest first, in batches of equal open sequences by their free room
     open_by_room: dict[int, list[tuple[tuple[int, ...], int]]] = {capacity: []}
     for a in range(capacity, 0, -1):
