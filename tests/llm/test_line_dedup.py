@@ -1,0 +1,51 @@
+import random
+
+from tidemart.llm import line_dedup
+
+
+def texts():
+    """Documents of unlike lines, with a license line in many, a numbered footer in others, and whole copies."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    out = []
+    for i in range(60):
+        lines = [" ".join(word() for _ in range(rng.randint(4, 12))) for _ in range(rng.randint(1, 5))]
+        if i % 3 == 0:
+            lines.insert(rng.randint(0, len(lines)), "Licensed under the Apache License, Version 2.0.")
+        if i % 4 == 0:
+            lines.append(f"\tPage {i} of {i + 60}\r")
+        if i % 5 == 0:
+            lines.append(f"posted by {word()} on the old forum board today")
+        out.append("\n".join(lines))
+    return out
+
+
+def test_recurring_templates_go_but_the_first(make_docs):
+    rows = [(1000 - i, t) for i, t in enumerate(texts())]
+    rows += [(2000 + i, texts()[1]) for i in range(30)] + [(3000, None), (3001, ""), (None, texts()[0])]
+    got = {r.doc_id: r for r in line_dedup.dedup(make_docs(rows), min_docs=10).collect()}
+    kinds = ("Licensed under", "\tPage ", "posted by ")
+    for kind in kinds:
+        firsts = min(d for d, t in rows if d is not None and kind in (t or ""))
+        for d, t in rows:
+            there = [x for x in (got[d].text or "").split("\n") if x.startswith(kind)]
+            assert len(there) == (d == firsts and kind in (t or "")), (kind, d)
+    for d, t in rows:  # and nothing else does
+        other = lambda x: [y for y in (x or "").split("\n") if not y.startswith(kinds)]
+        assert other(got[d].text) == other(t) or not other(t)
+    assert got[3000].text is None and got[3001].text == ""
+    assert got[2005].block == "x-block" and got[2005].lang == "en"
+
+
+def test_whole_copies_are_no_evidence(make_docs):
+    rows = [(i, "one line of it\nand another one\nthe end of this text") for i in range(40)]
+    assert all(r._dropped == [] for r in line_dedup.dedup(make_docs(rows)).collect())
+
+
+def test_report_repeated_rows_long_lines_and_empty_table(make_docs):
+    long = "word " * 20_000
+    rows = [(i, f"{long}\nline {i}\nown{i} thing") for i in range(12)] + [(3, f"{long}\nline 3\nown3 thing")]
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.dropped_lines) for r in line_dedup.report(make_docs(rows)).collect()}
+    # "own3 thing" is half constant, so its template recurs too
+    assert got[0] == (3, 0, "") and got[3] == (3, 3, "0,1,2") and got[11] == (3, 3, "0,1,2")
+    assert line_dedup.report(make_docs([])).count() == 0

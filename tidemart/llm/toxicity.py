@@ -137,8 +137,8 @@ def votes(rows: DataFrame, voters: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 packed.append(np.packbits([v in has for v in voters]).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), b.column(1)], ["votes", "toxic"])
 
-    got = (rows.select("text", "toxic").mapInArrow(run, "votes binary, toxic int")
-           .orderBy("toxic", "votes").collect())
+    got = sorted(rows.select("text", "toxic").mapInArrow(run, "votes binary, toxic int").collect(),
+                 key=lambda r: (r["toxic"], r["votes"]))
     bits = np.array([np.frombuffer(r["votes"], dtype=np.uint8) for r in got]).reshape(len(got), -1)
     return np.unpackbits(bits, axis=1)[:, :len(voters)].astype(np.float64), np.array([r["toxic"] for r in got])
 
