@@ -43,22 +43,24 @@ def fact_rows(stg_items: DataFrame) -> DataFrame:
     )
 
 
-def fact_order(columns: list[str]) -> list:
-    """Total order for picking the surviving version of a key: latest load first,
-    then every other column, so equal picks are equal rows."""
-    rest = [c for c in columns if c not in ("order_item_key", "order_id", "product_id", "loaded_at")]
-    return [F.col("loaded_at").desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in rest]
-
-
-def dedup_fact(rows: DataFrame) -> DataFrame:
-    """One row per order_item_key (the items view itself does not dedup; a key
-    repeated within a batch would break the merge, so the latest wins)."""
-    return latest_per_key(rows, ["order_item_key"], fact_order(rows.columns), cluster=["order_id"])
+def dedup_items(stg_items: DataFrame) -> DataFrame:
+    """One row per (order, product): the latest load, then the largest of every other column,
+    so equal picks are equal rows (the items view itself does not dedup, and a key repeated
+    within a batch would break the merge). Rows without a full key are all kept.
+    """
+    rest = ["extraction_date", *[c for c in FACT_MEASURES if c in stg_items.columns],
+            *[c for c in stg_items.columns if c not in ("order_id", "product_id", "extraction_date",
+                                                        "loaded_at", *FACT_MEASURES)]]
+    order = [F.col(c).desc_nulls_last() for c in ["loaded_at", *rest]]
+    # a row without a full key is its own group, wherever it is
+    lone = F.when(F.col("order_id").isNull() | F.col("product_id").isNull(), F.monotonically_increasing_id())
+    return latest_per_key(stg_items.withColumn("_lone", lone), ["product_id", "_lone"], order,
+                          cluster=["order_id"]).drop("_lone")
 
 
 def build_fact(stg_items: DataFrame) -> DataFrame:
-    """Full build of fact_order_items from staged items."""
-    return dedup_fact(fact_rows(stg_items))
+    """fact_order_items from staged items; the key is built after the dedup, which needs the ids only."""
+    return fact_rows(dedup_items(stg_items))
 
 
 SUMMARY_COLUMNS = ["date_key", "total_orders", "total_quantity", "total_revenue",

@@ -248,7 +248,7 @@ def q_daily_summary_incremental(spark, sf_dir):
     one into partitioned fact and summary tables; ends equal to a full rebuild."""
     from ..operators.incremental import Marts
     from ..session import scratch_dir
-    m = Marts(spark, scratch_dir(spark, "incremental"))
+    m = Marts(spark, scratch_dir(spark, "incremental"), fact_grain="year")
     loads = [testdata.load_items(spark, sf_dir, i) for i in range(len(testdata.THREE_LOADS))]
     for i in range(len(loads)):
         # raw accumulates; the mark filter inside refresh picks the new load only
@@ -264,7 +264,7 @@ def q_fact_incremental_revision(spark, sf_dir):
     """A later version of a key replaces the earlier one, also across dates."""
     from ..operators.incremental import Marts
     from ..session import scratch_dir
-    m = Marts(spark, scratch_dir(spark, "revision"))
+    m = Marts(spark, scratch_dir(spark, "revision"), fact_grain="year")
     v1 = testdata.staged_order_items(spark, sf_dir, loaded_at=REVISION_STAMPS[0])
     v2 = testdata.revised_items(spark, sf_dir, REVISION_STAMPS[1])
     m.refresh(v1)
@@ -280,7 +280,7 @@ def q_fact_schema_sync(spark, sf_dir):
     """I4: a load adds tax_percentage and drops discount_percentage; columns follow."""
     from ..operators.incremental import Marts
     from ..session import scratch_dir
-    m = Marts(spark, scratch_dir(spark, "schema-sync"))
+    m = Marts(spark, scratch_dir(spark, "schema-sync"), fact_grain="year")
     m.refresh(testdata.staged_order_items(spark, sf_dir, (None, SCHEMA_SPLIT), REVISION_STAMPS[0]))
     m.refresh(testdata.items_with_tax(spark, sf_dir, (SCHEMA_SPLIT, None), REVISION_STAMPS[1]))
     return m.fact.read()
@@ -386,7 +386,7 @@ def q_stream_file_ingest_summary(spark, sf_dir):
 
     root = scratch_dir(spark, "stream")
     nested = assemble_orders(testdata.order_headers(spark, sf_dir), testdata.priced_lines(spark, sf_dir))
-    m = Marts(spark, f"{root}/marts")
+    m = Marts(spark, f"{root}/marts", fact_grain="year")
     raw = RawTable(spark, f"{root}/raw_orders")
 
     def refresh(_raw_df):

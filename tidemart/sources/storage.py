@@ -4,33 +4,42 @@ No table format (Delta/Iceberg) is on the classpath and built-in tables reject
 MERGE, so a mart is:
 
   <base>/v<N>/<partition>=<value>/part-*.parquet   data, one folder per version
-  <base>/_state/seq=<n>/part-*.parquet               one row per commit:
-      (commit_seq, version, location, schema_json, mark, committed_at)
+  <base>/_runs/<id>/part-*.parquet                 new content of the partitions being replaced
+  <base>/_state/seq=<n>/part-*.parquet             one row per commit:
+      (commit_seq, version, location, schema_json, mark, committed_at, pending)
 
 Only the newest ``seq=`` folder is read (found by a metadata listing), so the
 state stays one small read however many commits a table has seen.
 
-The latest state row names the live data folder, its schema and the
-high-water mark. It is written *after* the data, so a crash in between leaves
-the old mark and the rerun repeats the batch; the keyed upsert makes that
-harmless. Partition replacement uses Spark's dynamic partition overwrite;
-partitions a batch empties are removed afterwards.
+Replacing partitions takes three steps: their whole new content is written to a
+run folder; a state row names that folder as pending, which is the commit; then
+the partitions are overwritten from it and a state row clears it. A crash before
+the commit changes nothing, and after it readers take the affected partitions
+from the run folder until any later writer has finished the overwrite.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 STATE_SCHEMA = ("commit_seq BIGINT, version INT, location STRING, schema_json STRING, "
-                "mark TIMESTAMP_NTZ, committed_at TIMESTAMP_NTZ")
+                "mark TIMESTAMP_NTZ, committed_at TIMESTAMP_NTZ, pending STRING")
 MARK_FLOOR = _dt.datetime(1900, 1, 1)  # the reference's default mark: 1900-01-01
 
 
 GRAINS = ("day", "month", "year")
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for a null partition value
+
+
+def in_values(c: F.Column, values: list) -> F.Column:
+    """Whether the column is one of ``values``, None standing for null."""
+    known = c.isin([v for v in values if v is not None])
+    return (known | c.isNull()) if None in values else known
 
 
 class MartTable:
@@ -43,13 +52,15 @@ class MartTable:
     tiny files (the daily summary has one row per day).
     """
 
-    def __init__(self, spark: SparkSession, base: str, by: str = "date_key", grain: str = "day"):
+    def __init__(self, spark: SparkSession, base: str, by: str = "date_key", grain: str = "day",
+                 sort: tuple[str, ...] = ()):
         if grain not in GRAINS:
             raise ValueError(f"grain must be one of {GRAINS}")
         self.spark = spark
         self.base = base.rstrip("/")
         self.by = by
         self.grain = grain
+        self.sort = sort  # columns that the files of a partition are sorted by
         self.partition_col = by if grain == "day" else f"{by}_{grain}"
         self._state_dir = f"{self.base}/_state"
         self._state_cache = None
@@ -60,7 +71,7 @@ class MartTable:
 
     def partition_value_py(self, d):
         """The partition value of a Python date."""
-        if self.grain == "day":
+        if self.grain == "day" or d is None:
             return d
         return d.replace(day=1) if self.grain == "month" else d.replace(month=1, day=1)
 
@@ -110,27 +121,41 @@ class MartTable:
         return StructType.fromJson(json.loads(self.state()["schema_json"]))
 
     def read(self) -> DataFrame:
-        st = self.state()
-        if st is None:
+        if self.state() is None:
             raise FileNotFoundError(f"table {self.base} has no data yet")
-        df = self.spark.read.schema(self.schema()).parquet(st["location"])
-        return df if self.grain == "day" else df.drop(self.partition_col)
+        return self._visible(self._rows(), None)
 
     def read_partitions(self, values: list) -> DataFrame:
-        """Rows of the given partitions only (partition pruning at the scan)."""
-        st = self.state()
-        df = (self.spark.read.schema(self.schema()).parquet(st["location"])
-              .where(F.col(self.partition_col).isin(values)))
+        """Rows of the given partitions only (partition pruning at the scan); None is the null date's."""
+        return self._visible(self._rows().where(in_values(F.col(self.partition_col), values)), values)
+
+    def _rows(self) -> DataFrame:
+        return self.spark.read.schema(self.schema()).parquet(self.state()["location"])
+
+    def _visible(self, df: DataFrame, values: list | None) -> DataFrame:
+        """``df`` as of the latest commit: partitions that wait to be overwritten come from the run folder."""
+        waiting = self.state()["pending"]
+        if waiting:
+            path, parts = self._pending()
+            new = self.with_partition(self.spark.read.schema(self.data_schema()).parquet(path))
+            new = new if values is None else new.where(in_values(F.col(self.partition_col), values))
+            # the partition column may be null, so the test is made two-valued
+            old = F.coalesce(in_values(F.col(self.partition_col), parts), F.lit(False))
+            df = df.where(~old).unionByName(new.select(*df.columns))
         return df if self.grain == "day" else df.drop(self.partition_col)
 
-    def _commit(self, version: int, location: str, schema: StructType, mark) -> None:
+    def _pending(self) -> tuple[str, list]:
+        p = json.loads(self.state()["pending"])
+        return p["path"], [None if v is None else _dt.date.fromisoformat(v) for v in p["parts"]]
+
+    def _commit(self, version: int, location: str, schema: StructType, mark, pending: str | None = None) -> None:
         st = self.state()
         seq = (st["commit_seq"] + 1) if st else 1
         row = [(seq, version, location, json.dumps(schema.jsonValue()), mark,
-                _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))]
+                _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), pending)]
         (self.spark.createDataFrame(row, STATE_SCHEMA).coalesce(1)
              .write.mode("errorifexists").parquet(f"{self._state_dir}/seq={seq:012d}"))
-        keys = ["commit_seq", "version", "location", "schema_json", "mark", "committed_at"]
+        keys = ["commit_seq", "version", "location", "schema_json", "mark", "committed_at", "pending"]
         self._state_cache = dict(zip(keys, row[0]))
 
     # ---------------------------------------------------------------- writes
@@ -138,8 +163,10 @@ class MartTable:
         # Rebalance by the partition column: each task writes few files, and AQE
         # splits a partition value holding a large share of the rows over many
         # tasks instead of one (and merges small ones).
-        df = self.with_partition(df)
-        return (df.hint("rebalance", self.partition_col).write
+        df = self.with_partition(df).hint("rebalance", self.partition_col)
+        if self.sort:
+            df = df.sortWithinPartitions(self.partition_col, *self.sort)
+        return (df.write
                   .option("partitionOverwriteMode", "dynamic")
                   .partitionBy(self.partition_col))
 
@@ -151,26 +178,57 @@ class MartTable:
         self._writer(df).mode("overwrite").option("partitionOverwriteMode", "static").parquet(location)
         self._commit(version, location, self._table_schema(self.with_partition(df)), mark)
 
-    def replace_partitions(self, df: DataFrame, emptied: list, mark) -> None:
-        """Replace the partitions ``df`` has rows for with those rows, and remove
-        the ``emptied`` partitions (affected ones left without rows)."""
+    def replace_partitions(self, df: DataFrame, parts: list, mark) -> list:
+        """``df`` becomes the whole content of the partitions ``parts``; returns those left without rows."""
         st = self.state()
-        names = [n for n in self.schema().fieldNames()
-                 if self.grain == "day" or n != self.partition_col]
+        names = self.data_schema().fieldNames()
         if set(df.columns) != set(names):
-            raise ValueError("schema differs from the table; rewrite it with overwrite_all first")
-        df = df.select(*names)
-        self._writer(df).mode("overwrite").parquet(st["location"])
-        for value in emptied:
-            self._delete(self.partition_path(value))
-        self._commit(st["version"], st["location"], self.schema(), mark)
+            raise ValueError("schema differs from the table; sync it first")
+        run = f"{self.base}/_runs/{uuid.uuid4().hex}"
+        df.select(*names).write.parquet(run)
+        pending = json.dumps({"path": run, "parts": [None if v is None else v.isoformat() for v in parts]})
+        self._commit(st["version"], st["location"], self.schema(), mark, pending)
+        return self.recover()
 
-    def append_rows(self, df: DataFrame, mark) -> None:
-        """Add rows without rewriting anything (for tables where duplicates are harmless)."""
+    def recover(self) -> list:
+        """Finish a replacement that was committed; returns the partitions it left empty.
+
+        Each replacement only ever writes what the run folder holds, so doing it again is harmless.
+        """
         st = self.state()
-        names = [f.name for f in self.data_schema().fields]
-        self._writer(df.select(*names)).mode("append").parquet(st["location"])
-        self._commit(st["version"], st["location"], self.schema(), mark)
+        if st is None or not st["pending"]:
+            return []
+        run, parts = self._pending()
+        new = self.spark.read.schema(self.data_schema()).parquet(run)
+        # one value per replaced partition
+        present = {r[0] for r in self.with_partition(new).select(self.partition_col).distinct().collect()}
+        self._writer(new).mode("overwrite").parquet(st["location"])
+        empty = [v for v in parts if v not in present]
+        for value in empty:
+            self._delete(self.partition_path(value))
+        self._commit(st["version"], st["location"], self.schema(), st["mark"])
+        self._delete(run)
+        return empty
+
+    def sync_schema(self, wanted: StructType, aligned) -> None:
+        """I4: take over the columns of ``wanted``.
+
+        Files keep what they have: readers see an added column as null and don't
+        see a dropped one, so only the state changes. The rows are rewritten, by
+        ``aligned(rows)``, where a type changes or a dropped column comes back.
+        """
+        st, now = self.state(), {f.name: f.dataType for f in self.data_schema().fields}
+        ever = {f["name"] for r in self.spark.read.schema(STATE_SCHEMA).parquet(self._state_dir)
+                .where(F.col("version") == st["version"]).select("schema_json").distinct().collect()
+                for f in json.loads(r[0])["fields"]}  # one small row per schema of this version
+        changed = any(now.get(f.name, f.dataType) != f.dataType for f in wanted.fields)
+        if changed or any(f.name in ever and f.name not in now for f in wanted.fields):
+            self.overwrite_all(aligned(self.read()), st["mark"])
+        else:
+            part = [] if self.grain == "day" else [self.schema()[self.partition_col]]
+            fields = [f for f in wanted.fields if self.grain != "day" or f.name != self.by]
+            tail = part or [wanted[self.by]]
+            self._commit(st["version"], st["location"], StructType(fields + tail), st["mark"])
 
     def vacuum(self) -> list:
         """Remove data folders of versions older than the live one (after a commit)."""
@@ -187,17 +245,7 @@ class MartTable:
         return gone
 
     def partition_path(self, value) -> str:
-        return f"{self.state()['location']}/{self.partition_col}={value}"
-
-    def partitions_present(self, values: list) -> set:
-        """Which of ``values`` have a partition folder (metadata calls only)."""
-        loc = self.state()["location"]
-        present = set()
-        for v in values:
-            p, fs = self._hadoop_path(f"{loc}/{self.partition_col}={v}")
-            if fs.exists(p):
-                present.add(v)
-        return present
+        return f"{self.state()['location']}/{self.partition_col}={NULL_PARTITION if value is None else value}"
 
     # ---------------------------------------------------------------- helpers
     def data_schema(self) -> StructType:
@@ -215,10 +263,6 @@ class MartTable:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _exists(self, path: str) -> bool:
-        p, fs = self._hadoop_path(path)
-        return fs.exists(p)
-
     def _delete(self, path: str) -> None:
         p, fs = self._hadoop_path(path)
         if fs.exists(p):
