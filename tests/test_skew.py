@@ -90,7 +90,24 @@ def test_top_k_and_first_row_with_a_hot_group(spark):
     picks = stable_sample(fact.select("date_key", "order_item_key"), "date_key", "order_item_key", 3)
     per_day = {r.date_key: r["count"] for r in picks.groupBy("date_key").count().collect()}
     assert per_day[HOT_DAY] == 3 and all(v <= 3 for v in per_day.values())
-    joined = fact.withColumn("title", F.lit("t")).withColumn("category", F.lit("c")) \
-        .withColumn("rating_rate", F.lit(1.0)).withColumn("rating_count", F.lit(1))
-    one = reports.price_vs_rating(joined.select(*reports.JOINED_COLUMNS))
+    dim = fact.select("product_id").distinct().selectExpr("product_id", "'t' AS title", "1.0D AS rating_rate",
+                                                          "1 AS rating_count")
+    one = reports.price_vs_rating(fact, dim)
     assert one.count() == fact.select("product_id").distinct().count()
+
+
+def test_hot_order_is_split_over_envelopes(spark, workdir):
+    from tidemart.sources import landing
+    record = F.struct(F.col("order_id").alias("id"), F.array_repeat(F.lit(1), 10).alias("products"))
+    hot = spark.range(1960).select(F.lit(7).alias("order_id"), F.col("id").cast("int").alias("page"))
+    rest = spark.range(300).select((F.col("id") + 100).cast("int").alias("order_id"), F.lit(0).alias("page"))
+    nested = hot.unionByName(rest).select("order_id", "page", F.lit(HOT_DAY).alias("extraction_date"), record.alias("record"))
+    nested = nested.unionByName(nested.where("order_id = 105").withColumn("extraction_date", F.lit(None).cast("date")))
+    env = landing.build_envelopes(nested, "orders", page_records=1000, weight=F.size("record.products"))
+    sizes = [r.n for r in env.select(F.size("data").alias("n")).collect()]
+    assert max(sizes) < 200 and sum(sizes) == 1960 + 301
+    per_day = {r.extraction_date: r.n for r in env.groupBy("extraction_date").agg(F.sum("record_count").alias("n")).collect()}
+    assert per_day == {HOT_DAY.isoformat(): 301, None: 1}  # orders, not pages
+    assert landing.envelope_count_mismatches(env).count() == 0
+    back = landing.read_envelopes(spark, landing.write_envelopes(env, workdir, "orders"), "orders")
+    assert back.select(F.size("data").alias("n")).agg(F.sum("n")).first()[0] == 1960 + 301

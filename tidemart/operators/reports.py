@@ -25,54 +25,6 @@ def fact_with_product(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     return fact.join(dim, "product_id", "left").select(*JOINED_COLUMNS)
 
 
-def _bp(c: str) -> F.Column:
-    """A two-decimal percent as integer basis points (exact)."""
-    return (F.col(c).cast(pricing.PERCENT) * F.lit(100)).cast("bigint")
-
-
-def kpi_row(joined: DataFrame) -> DataFrame:
-    """Revenue, distinct orders, items sold, mean item discount (unweighted).
-
-    Sums of an empty input are 0 as in the reference's pandas code; the mean stays null.
-    """
-    return joined.agg(
-        F.coalesce(pricing.to_double(pricing.money_sum("line_total")), F.lit(0.0)).alias("total_revenue"),
-        F.countDistinct("order_id").alias("total_orders"),
-        F.coalesce(F.sum("quantity").cast("bigint"), F.lit(0).cast("bigint")).alias("items_sold"),
-        F.try_divide(F.try_divide(F.sum(_bp("discount_percentage")).cast("double"),
-                                  F.count("discount_percentage").cast("double")),
-                     F.lit(100.0)).alias("avg_discount"),
-    )
-
-
-def revenue_by_category(joined: DataFrame) -> DataFrame:
-    """R2/A4/O2: revenue per category, largest first; a null category forms no group."""
-    return (joined.where(F.col("category").isNotNull())
-                  .groupBy("category")
-                  .agg(pricing.to_double(pricing.money_sum("line_total")).alias("line_total"))
-                  .orderBy(F.col("line_total").desc(), F.col("category")))
-
-
-def top_products(joined: DataFrame, n: int = 10) -> DataFrame:
-    """Top ``n`` titles by quantity (equal titles merge), shown ascending.
-
-    Ties at the cut are broken by title so the ten are the same on every run.
-    The sort + limit plans as TakeOrderedAndProject: each task keeps its own top n.
-    """
-    top = (joined.where(F.col("title").isNotNull())
-                 .groupBy("title").agg(F.sum("quantity").cast("bigint").alias("quantity"))
-                 .orderBy(F.col("quantity").desc(), F.col("title")).limit(n))
-    return top.orderBy(F.col("quantity"), F.col("title").desc())
-
-
-def price_vs_rating(joined: DataFrame) -> DataFrame:
-    """One row per product (the first by date, then order id) with price and rating."""
-    w = Window.partitionBy("product_id").orderBy(F.col("date_key"), F.col("order_id"),
-                                                 F.col("unit_price"))
-    return (joined.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-                  .select("product_id", "rating_rate", "unit_price", "rating_count", "title"))
-
-
 def daily_trend(summary: DataFrame) -> DataFrame:
     """Revenue per day in date order, with the 'fewer than 2 days' flag.
 
@@ -87,18 +39,19 @@ def daily_trend(summary: DataFrame) -> DataFrame:
 # R1-R4 from one per-product roll-up of the fact: the fact is scanned and
 # combined map-side once, and the product join runs on one row per product
 # instead of one per fact row. Exact decimal sums make the results identical
-# to the row-level forms above.
+# to those of the joined rows.
+
+EXACT = "decimal(30,12)"  # a discount as given, without rounding, summed in any order to the same value
+
 
 def product_rollup(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """One row per product: revenue, quantity, item count, discount basis points,
-    the first row's price (by date, order, price), plus the product's dimension
-    columns (left join: an unknown product keeps nulls)."""
+    """One row per product: revenue, quantity, item count, sum of discounts, plus the product's
+    dimension columns (left join: an unknown product keeps nulls)."""
     per = fact.groupBy("product_id").agg(
         F.sum(F.col("line_total").cast(pricing.MONEY)).cast(pricing.MONEY_SUM).alias("revenue"),
         F.sum("quantity").cast("bigint").alias("quantity"),
         F.count("discount_percentage").alias("n_pct"),
-        F.sum(_bp("discount_percentage")).alias("bp"),
-        F.min(F.struct("date_key", "order_id", "unit_price")).alias("first"),
+        F.sum(F.col("discount_percentage").cast(EXACT)).alias("pct"),
     )
     dim = dim_product.select("product_id", "title", "category", "rating_rate", "rating_count")
     return per.join(dim, "product_id", "left")
@@ -109,8 +62,7 @@ def kpi_row_from(rollup: DataFrame, fact: DataFrame) -> DataFrame:
     sums = rollup.agg(
         F.coalesce(pricing.to_double(F.round(F.sum("revenue"), 2)), F.lit(0.0)).alias("total_revenue"),
         F.coalesce(F.sum("quantity").cast("bigint"), F.lit(0).cast("bigint")).alias("items_sold"),
-        F.try_divide(F.try_divide(F.sum("bp").cast("double"), F.sum("n_pct").cast("double")),
-                     F.lit(100.0)).alias("avg_discount"))
+        F.try_divide(F.sum("pct").cast("double"), F.sum("n_pct").cast("double")).alias("avg_discount"))
     orders = fact.select(F.countDistinct("order_id").alias("total_orders"))
     return sums.select("total_revenue", orders.scalar().alias("total_orders"), "items_sold",
                        "avg_discount")
@@ -129,6 +81,14 @@ def top_products_from(rollup: DataFrame, n: int = 10) -> DataFrame:
     return top.orderBy(F.col("quantity"), F.col("title").desc())
 
 
-def price_vs_rating_from(rollup: DataFrame) -> DataFrame:
-    return rollup.select("product_id", "rating_rate", F.col("first.unit_price").alias("unit_price"),
-                         "rating_count", "title")
+def price_vs_rating(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """One row per product, the first by date, order and price, with its price and rating.
+
+    The top-1 window is cut to one row per product and task before the shuffle.
+    """
+    w = Window.partitionBy("product_id").orderBy("date_key", "order_id", "unit_price")
+    first = (fact.select("product_id", "date_key", "order_id", "unit_price")
+             .withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("product_id", "unit_price"))
+    dim = dim_product.select("product_id", "title", "rating_rate", "rating_count")
+    return first.join(dim, "product_id", "left").select(
+        "product_id", "rating_rate", "unit_price", "rating_count", "title")

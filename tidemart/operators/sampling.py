@@ -29,15 +29,16 @@ class BlockOverflowError(RuntimeError):
 
 def order_id_blocks(orders: DataFrame, date_col: str = "extraction_date",
                     key_col: str = "order_id", block: int = ORDER_ID_BLOCK,
-                    strict: bool = False) -> DataFrame:
+                    strict: bool = True) -> DataFrame:
     """``new_id = day_index * block + position in the day`` (1-based, by key).
 
     Numbering is distributed (see ``ranking.sequence_number``), so a day holding
-    a third of all orders still spreads over many tasks. With ``strict`` a day
-    with more than ``block`` orders raises (its ids would enter the next day's block).
+    a third of all orders still spreads over many tasks. A day with more than
+    ``block`` orders raises, as its ids would enter the next day's block; without
+    ``strict`` that is left to ``quality.day_block_overlaps``.
     """
     seq = sequence_number(orders.select(date_col, key_col), [key_col], [date_col],
-                          out_col="seq_in_day", groups_bounded=True)
+                          out_col="seq_in_day")
     out = seq.select(date_col, key_col,
                      day_index(F.col(date_col)).alias("day_index"), "seq_in_day",
                      (day_index(F.col(date_col)).cast("bigint") * F.lit(block)

@@ -109,11 +109,12 @@ def q_order_rollup(spark, sf_dir):
     from ..functions import pricing
     r = order_rollup(testdata.priced_lines(spark, sf_dir))
     heads = testdata.order_headers(spark, sf_dir).select("order_id", "user_id", "extraction_date")
-    return r.join(heads, "order_id").select(
+    return heads.join(r, "order_id", "left").select(
         "order_id", "user_id", "extraction_date",
-        pricing.to_double("order_total").alias("order_total"),
-        pricing.to_double("order_discounted_total").alias("order_discounted_total"),
-        "total_products", "total_quantity")
+        F.coalesce(pricing.to_double("order_total"), F.lit(0.0)).alias("order_total"),
+        F.coalesce(pricing.to_double("order_discounted_total"), F.lit(0.0)).alias("order_discounted_total"),
+        F.coalesce("total_products", F.lit(0)).alias("total_products"),
+        F.coalesce("total_quantity", F.lit(0)).alias("total_quantity"))
 
 
 # ------------------------------------------------------------------ reports
@@ -159,9 +160,10 @@ def q_top10_products(spark, sf_dir):
 
 @register("price_vs_rating")
 def q_price_vs_rating(spark, sf_dir):
-    """R4 + A7: one row per product (first row by date, order, price), from the roll-up."""
-    from ..operators import reports
-    return reports.price_vs_rating_from(rollup(spark, sf_dir))
+    """R4 + A7: one row per product (first row by date, order, price)."""
+    from ..operators import reports, staging
+    dim = marts.dim_product(staging.stage_products(testdata.raw_products(spark, sf_dir)))
+    return reports.price_vs_rating(fact_from_tables(spark, sf_dir), dim)
 
 
 @register("daily_trend")
@@ -202,7 +204,7 @@ def q_order_id_blocks(spark, sf_dir):
     """W4 + X12: dense per-day id blocks (distributed numbering)."""
     from ..operators.sampling import order_id_blocks
     heads = testdata.order_headers(spark, sf_dir).select("order_id", "extraction_date")
-    return order_id_blocks(heads)
+    return order_id_blocks(heads, strict=False)  # order_invariants reports an overflow
 
 
 @register("order_invariants")
@@ -213,7 +215,7 @@ def q_order_invariants(spark, sf_dir):
     inv = quality.order_invariants(all_order_totals(spark, sf_dir),
                                    testdata.staged_order_items(spark, sf_dir))
     heads = testdata.order_headers(spark, sf_dir).select("order_id", "extraction_date")
-    ids = order_id_blocks(heads).select("extraction_date", "block_id")
+    ids = order_id_blocks(heads, strict=False).select("extraction_date", "block_id")
     return inv.unionByName(quality.day_block_overlaps(ids, id_col="block_id"))
 
 
@@ -286,6 +288,40 @@ def q_fact_schema_sync(spark, sf_dir):
     return m.fact.read()
 
 
+@register("fact_incremental_nulls")
+def q_fact_incremental_nulls(spark, sf_dir):
+    """Three loads with null dates, keys and stamps; no row is lost or doubled."""
+    from ..operators.incremental import Marts
+    from ..session import scratch_dir
+    m = Marts(spark, scratch_dir(spark, "nulls"), fact_grain="year")
+    loads = testdata.loads_with_nulls(spark, sf_dir)
+    for i in range(len(loads)):
+        m.refresh(_union(loads[: i + 1]))
+    return m.fact.read().select(*marts.FACT_COLUMNS)
+
+
+@register("quality_report_defects")
+def q_quality_report_defects(spark, sf_dir):
+    """Q1-Q4 over tables with planted duplicates, nulls and orphans: every check counts some."""
+    from pyspark.sql import functions as F
+    from ..operators import quality, staging
+    good = fact_from_tables(spark, sf_dir)
+    by = lambda c, n: F.col(c) % n == 0
+    fact = good.unionByName(good.where(by("order_id", 50))).select(
+        F.when(~by("order_id", 40), F.col("order_item_key")).alias("order_item_key"),
+        F.when(~by("order_id", 60), F.col("product_id")).alias("product_id"),
+        F.when(~by("order_id", 80), F.col("date_key")).alias("date_key"))
+    parts = marts.dim_product(staging.stage_products(testdata.raw_products(spark, sf_dir))).select("product_id")
+    dim_p = parts.where(~by("product_id", 17)).unionByName(parts.where(by("product_id", 19))).unionByName(
+        parts.where(by("product_id", 23)).select(F.lit(None).cast("bigint").alias("product_id")))
+    days = marts.dim_date(order_date_spine(spark, sf_dir)).select("date_key", "day")
+    dim_d = (days.where("day <> 31").unionByName(days.where("day = 1"))
+             .select(F.when(F.col("day") != 2, F.col("date_key")).alias("date_key")))
+    summ = fact.select("date_key").distinct()
+    summ = summ.unionByName(summ.where(F.dayofmonth("date_key") == 3))
+    return quality.report(quality.star_schema_checks(dim_d, dim_p, fact, summ))
+
+
 @register("affected_dates")
 def q_affected_dates(spark, sf_dir):
     """A6 + P10 + P11: dates with fact rows newer than the summary's latest load."""
@@ -330,7 +366,7 @@ def q_push_payload_batches(spark, sf_dir):
     """S7 + P8 + W3: batches of at most 10 summary rows in date order."""
     from ..operators.publish import payload_batches
     b = payload_batches(marts.daily_summary(fact_from_tables(spark, sf_dir)))
-    return b.select("batch_id", "n_records", "first_date", "last_date")
+    return b.select("batch_id", "n_records", "first_date", "last_date", "payload")
 
 
 @register("push_upsert_counts")
@@ -357,7 +393,7 @@ def q_order_envelope(spark, sf_dir):
     from ..sources.raw import landing_file_name
     from ..operators.assembly import assemble_orders
     nested = assemble_orders(testdata.order_headers(spark, sf_dir), testdata.priced_lines(spark, sf_dir))
-    env = build_envelopes(nested, "orders")
+    env = build_envelopes(nested, "orders", weight=F.size("record.products"))
     return (env.groupBy("extraction_date", "source")
                .agg(F.sum("record_count").alias("record_count"),
                     F.count_if(F.col("record_count") != F.size("data")).alias("count_mismatches"))

@@ -19,7 +19,7 @@ priced_lines AS (
            CAST(CAST(l.l_tax AS DECIMAL(6,4)) * 100 AS DECIMAL(5,2)) AS tax,
            CAST(ROUND(CAST(p.p_retailprice AS DECIMAL(14,2)) * CAST(l.l_quantity AS INTEGER), 2)
                 AS DECIMAL(14,2)) AS lt
-    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+    FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
   )
 )"""
 
@@ -31,7 +31,7 @@ staged_items AS (
          CAST(pl.ldt AS DOUBLE) AS line_discounted_total,
          CAST(o.o_orderdate AS DATE) AS extraction_date,
          CAST(o.o_orderdate AS TIMESTAMP) AS loaded_at
-  FROM priced_lines pl JOIN orders o ON pl.order_id = o.o_orderkey
+  FROM priced_lines pl LEFT JOIN orders o ON pl.order_id = o.o_orderkey
 )"""
 
 FACT_ORDER = ("loaded_at DESC, date_key DESC, quantity DESC, unit_price DESC, line_total DESC, "
@@ -74,17 +74,12 @@ ORACLE["fact_order_items"] = f"WITH {FACT}\nSELECT * FROM fact"
 ORACLE["daily_sales_summary"] = f"WITH {FACT}\n{summary_select()}"
 
 ORACLE["stg_products_latest"] = """
-WITH sales AS (
-  SELECT l.l_partkey AS product_id, CAST(o.o_orderdate AS DATE) AS d, count(*) AS n
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2
-), latest AS (
-  SELECT * FROM sales QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY d DESC) = 1
-)
+WITH sales AS (SELECT l_partkey AS product_id, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT p.p_partkey AS product_id, p.p_name AS title, p.p_type AS category,
        CAST(CAST(p.p_retailprice AS DECIMAL(14,2)) AS DOUBLE) AS price,
-       CAST(p.p_size AS DOUBLE) / 10 AS rating_rate, CAST(n AS INTEGER) AS rating_count,
-       d AS extraction_date, CAST(d AS TIMESTAMP) AS loaded_at
-FROM latest JOIN part p ON p.p_partkey = latest.product_id"""
+       CAST(p.p_size AS DOUBLE) / 10 AS rating_rate, CAST(coalesce(n, 0) AS INTEGER) AS rating_count,
+       DATE '1998-01-01' AS extraction_date, TIMESTAMP '1998-01-01' AS loaded_at
+FROM part p LEFT JOIN sales ON p.p_partkey = sales.product_id"""
 
 ORACLE["dim_product"] = f"""
 SELECT product_id, title, category, price, rating_rate, rating_count
@@ -111,9 +106,9 @@ ORACLE["order_rollup"] = f"""
 WITH {ORDER_TOTALS}
 SELECT o.o_orderkey AS order_id, o.o_custkey AS user_id,
        CAST(o.o_orderdate AS DATE) AS extraction_date,
-       CAST(t AS DOUBLE) AS order_total, CAST(dt AS DOUBLE) AS order_discounted_total,
-       CAST(n AS INTEGER) AS total_products, CAST(q AS INTEGER) AS total_quantity
-FROM orders o JOIN totals ON totals.order_id = o.o_orderkey"""
+       CAST(coalesce(t, 0) AS DOUBLE) AS order_total, CAST(coalesce(dt, 0) AS DOUBLE) AS order_discounted_total,
+       CAST(coalesce(n, 0) AS INTEGER) AS total_products, CAST(coalesce(q, 0) AS INTEGER) AS total_quantity
+FROM orders o LEFT JOIN totals ON totals.order_id = o.o_orderkey"""
 
 ORACLE["stg_order_items_flatten"] = f"WITH {STAGED_ITEMS}\nSELECT * FROM staged_items"
 
@@ -146,8 +141,8 @@ WITH {JOINED}
 SELECT coalesce(CAST(ROUND(sum(CAST(line_total AS DECIMAL(14,2))), 2) AS DOUBLE), 0.0) AS total_revenue,
        count(DISTINCT order_id) AS total_orders,
        CAST(coalesce(sum(quantity), 0) AS BIGINT) AS items_sold,
-       CAST(sum(CAST(CAST(discount_percentage AS DECIMAL(5,2)) * 100 AS BIGINT)) AS DOUBLE)
-         / CAST(count(discount_percentage) AS DOUBLE) / 100.0 AS avg_discount
+       CAST(sum(CAST(discount_percentage AS DECIMAL(30,12))) AS DOUBLE)
+         / CAST(count(discount_percentage) AS DOUBLE) AS avg_discount
 FROM joined"""
 
 ORACLE["revenue_by_category"] = f"""
@@ -210,6 +205,32 @@ ORACLE["quality_report"] = (
     "checks AS (" + "\nUNION ALL\n".join(_check(*c) for c in _CHECKS) + ")\n"
     "SELECT *, failures = 0 AS passed FROM checks")
 
+_DEFECTS = {"dimd": "days_d", "dimp": "parts_d", "fact": "fact_d", "summ": "summ_d"}
+
+ORACLE["quality_report_defects"] = (
+    f"WITH {FACT}, {DIM_PRODUCT_CTE}, {_DIM_DATE_CTE},\n" + """
+fact_d AS (
+  SELECT CASE WHEN order_id % 40 <> 0 THEN order_item_key END AS order_item_key,
+         CASE WHEN order_id % 60 <> 0 THEN product_id END AS product_id,
+         CASE WHEN order_id % 80 <> 0 THEN date_key END AS date_key
+  FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE order_id % 50 = 0)
+),
+parts_d AS (
+  SELECT product_id FROM dimp WHERE product_id % 17 <> 0
+  UNION ALL SELECT product_id FROM dimp WHERE product_id % 19 = 0
+  UNION ALL SELECT NULL FROM dimp WHERE product_id % 23 = 0
+),
+days_d AS (
+  SELECT CASE WHEN day <> 2 THEN date_key END AS date_key
+  FROM (SELECT * FROM dimd WHERE day <> 31 UNION ALL SELECT * FROM dimd WHERE day = 1)
+),
+dates AS (SELECT DISTINCT date_key FROM fact_d),
+summ_d AS (SELECT * FROM dates UNION ALL SELECT * FROM dates WHERE day(date_key) = 3),
+checks AS (""" + "\nUNION ALL\n".join(
+        _check(k, t, _DEFECTS[a], c, *([_DEFECTS[more[0]], more[1]] if more else []))
+        for k, t, a, c, *more in _CHECKS) + ")\n"
+    "SELECT *, failures = 0 AS passed FROM checks")
+
 _BLOCK_IDS = """
 ids AS (
   SELECT CAST(o_orderdate AS DATE) AS extraction_date, o_orderkey AS order_id,
@@ -360,9 +381,13 @@ SELECT * FROM files f WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.file_name
 
 ORACLE["push_payload_batches"] = f"""
 WITH {FACT}, summ AS ({summary_select()}),
-numbered AS (SELECT date_key, row_number() OVER (ORDER BY date_key) AS rn FROM summ)
+numbered AS (SELECT *, row_number() OVER (ORDER BY date_key) AS rn FROM summ)
 SELECT CAST((rn - 1) // 10 AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS n_records,
-       min(date_key) AS first_date, max(date_key) AS last_date
+       min(date_key) AS first_date, max(date_key) AS last_date,
+       '{{"performUpsert":{{"fieldsToMergeOn":["date_key"]}},"records":[' || string_agg(
+         '{{"fields":{{"date_key":"' || strftime(date_key, '%Y-%m-%d') || '","total_orders":' || total_orders
+         || ',"total_quantity":' || total_quantity || ',"total_revenue":' || total_revenue
+         || ',"total_discounted_revenue":' || total_discounted_revenue || '}}}}', ',' ORDER BY date_key) || ']}}' AS payload
 FROM numbered GROUP BY 1"""
 
 ORACLE["push_upsert_counts"] = f"""
@@ -394,3 +419,30 @@ affected_fact AS (
     WHERE loaded_at > (SELECT coalesce(max(loaded_at), TIMESTAMP '1900-01-01') FROM summ))
 )
 {summary_select('affected_fact')}"""
+
+ORACLE["fact_incremental_nulls"] = f"""
+WITH {STAGED_ITEMS},
+loads AS (
+  SELECT * EXCLUDE (loaded_at, extraction_date, product_id, quantity),
+         CASE WHEN order_id % 11 <> 0 THEN product_id END AS product_id, quantity,
+         CASE WHEN order_id % 7 <> 0 THEN extraction_date END AS extraction_date,
+         CASE WHEN extraction_date >= DATE '1997-01-01' THEN TIMESTAMP '2026-01-01 02:00:00'
+              WHEN order_id % 13 <> 0 THEN TIMESTAMP '2026-01-01 01:00:00' END AS loaded_at
+  FROM staged_items
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (loaded_at, product_id, quantity),
+         CASE WHEN order_id % 11 <> 0 THEN product_id END AS product_id, quantity + 1 AS quantity,
+         TIMESTAMP '2026-01-01 03:00:00' AS loaded_at
+  FROM staged_items WHERE order_id % 14 = 0
+),
+keyed AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY order_id, product_id
+    ORDER BY loaded_at DESC NULLS LAST, extraction_date DESC NULLS LAST, quantity DESC, unit_price DESC,
+             line_total DESC, discount_percentage DESC, line_discounted_total DESC) AS rn
+  FROM loads
+)
+SELECT CAST(order_id AS VARCHAR) || '_' || CAST(product_id AS VARCHAR) AS order_item_key,
+       order_id, product_id, extraction_date AS date_key, quantity, unit_price, line_total,
+       discount_percentage, line_discounted_total, loaded_at
+FROM keyed WHERE rn = 1 OR product_id IS NULL"""

@@ -46,7 +46,8 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = catalogue(spark, sf_dir).select("product_id", "title", "unit_price")
     # The catalogue grows with the data, so no broadcast hint: AQE broadcasts it
     # only when its shuffle stage turns out smaller than the broadcast threshold.
-    return pricing.price_lines(lines.join(cat, "product_id", "inner"))
+    # A line whose part is unknown stays, without a price.
+    return pricing.price_lines(lines.join(cat, "product_id", "left"))
 
 
 def order_headers(spark: SparkSession, sf_dir: str, date_range: tuple | None = None) -> DataFrame:
@@ -83,7 +84,8 @@ def staged_order_items(spark: SparkSession, sf_dir: str, date_range: tuple | Non
     heads = order_headers(spark, sf_dir, date_range).select("order_id", "extraction_date", "loaded_at")
     if loaded_at:
         heads = heads.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
-    return lines.join(heads, "order_id", "inner").select(
+    # without a range of dates, a line whose order is unknown stays, without a date
+    return lines.join(heads, "order_id", "inner" if date_range else "left").select(
         "order_id", "product_id", "quantity",
         pricing.to_double("unit_price").alias("unit_price"),
         pricing.to_double("line_total").alias("line_total"),
@@ -118,24 +120,27 @@ def product_record(rating_count: F.Column) -> F.Column:
     )
 
 
+# Fixed dates of the two catalogue extracts made from the part table.
+SNAPSHOTS = ("1995-01-01", "1998-01-01")
+
+
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw product snapshots: one per (product, sale date), as a daily catalogue
-    extract carrying the products sold that day; rating.count = lines sold that day."""
+    """Raw product snapshots: every part at two extraction dates, whether sold or not;
+    rating.count is 0 in the first and the number of its lines in the second."""
     cat = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type",
                      "p_size", "p_retailprice").select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("title"),
         F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
         F.col("p_size").alias("rating_rate_raw"),
         pricing.as_money("p_retailprice").alias("unit_price"))
-    sales = (read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
-             .join(order_headers(spark, sf_dir).select("order_id", "extraction_date"),
-                   F.col("l_orderkey") == F.col("order_id"))
-             .groupBy(F.col("l_partkey").alias("product_id"), "extraction_date")
-             .agg(F.count(F.lit(1)).cast("int").alias("n_lines")))
-    snap = sales.join(cat, "product_id").select(
-        "extraction_date",
-        F.col("extraction_date").cast("timestamp_ntz").alias("loaded_at"),
-        product_record(F.col("n_lines")).alias("record"))
+    sales = (read_table(spark, sf_dir, "lineitem", "l_partkey")
+             .groupBy(F.col("l_partkey").alias("product_id")).agg(F.count(F.lit(1)).cast("int").alias("sold")))
+    first, last = (F.lit(d).cast("date") for d in SNAPSHOTS)
+    snap = (cat.join(sales, "product_id", "left")
+            .withColumn("extraction_date", F.explode(F.array(first, last)))
+            .withColumn("n_lines", F.when(F.col("extraction_date") == last, F.coalesce("sold", F.lit(0))).otherwise(0))
+            .select("extraction_date", F.col("extraction_date").cast("timestamp_ntz").alias("loaded_at"),
+                    product_record(F.col("n_lines")).alias("record")))
     from .raw import to_raw
     return to_raw(snap, "products")
 
@@ -213,6 +218,24 @@ def revised_items(spark: SparkSession, sf_dir: str, stamp: str) -> DataFrame:
         "extraction_date", F.lit(stamp).cast("timestamp_ntz").alias("loaded_at"))
 
 
+def loads_with_nulls(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three loads with null dates (order id divisible by 7), null products (by 11) and, in
+    the first, null stamps (by 13); the last re-lands the orders divisible by 14, dated."""
+    by = lambda n: F.col("order_id") % n == 0
+
+    def damaged(df: DataFrame, dated: bool = False) -> DataFrame:
+        df = df.withColumn("product_id", F.when(~by(11), F.col("product_id")))
+        return df if dated else df.withColumn("extraction_date", F.when(~by(7), F.col("extraction_date")))
+
+    stamps = [f"2026-01-01 0{i}:00:00" for i in (1, 2, 3)]
+    first = damaged(staged_order_items(spark, sf_dir, (None, "1997-01-01"), stamps[0])).withColumn(
+        "loaded_at", F.when(~by(13), F.col("loaded_at")))
+    second = damaged(staged_order_items(spark, sf_dir, ("1997-01-01", None), stamps[1]))
+    third = damaged(staged_order_items(spark, sf_dir, None, stamps[2]).where(by(14)), dated=True).withColumn(
+        "quantity", F.col("quantity") + 1)
+    return [first, second, third]
+
+
 def items_with_tax(spark: SparkSession, sf_dir: str, date_range: tuple, stamp: str) -> DataFrame:
     """A load whose schema changed: ``tax_percentage`` added, ``discount_percentage`` dropped."""
     base = priced_lines(spark, sf_dir)
