@@ -86,3 +86,19 @@ def test_push_to_parquet_target_upserts_by_key(spark):
         [(0, 10, 0), (1, 0, 10), (2, 0, 5)]
     got = {r.date_key: r.total_orders for r in target.read().collect()}
     assert len(got) == 25 and got[dt.date(2026, 1, 1)] == 101
+
+
+def test_nothing_is_sent_after_a_failure_and_nothing_twice(spark, workdir):
+    import os
+
+    def transport(method, payload):
+        first = json.loads(payload)["records"][0]["fields"]["date_key"]
+        with open(os.path.join(workdir, "sent"), "a") as f:
+            f.write(first + "\n")
+        return (400 if first == "2026-01-11" else 200), json.dumps({"createdRecords": [], "updatedRecords": []})
+
+    res = publish.deliver(publish.payload_batches(summary(spark, 35)), transport, raise_on_error=False)
+    got = sorted((r.batch_id, r.status, r.attempts) for r in res.collect())
+    assert got == [(0, 200, 1), (1, 400, 1), (2, 0, 0), (3, 0, 0)] and res.count() == 4
+    with open(os.path.join(workdir, "sent")) as f:
+        assert f.read().split() == ["2026-01-01", "2026-01-11"]

@@ -353,14 +353,22 @@ def q_ledger_pending_files(spark, sf_dir):
              .agg(F.count(F.lit(1)).alias("record_count"))
              .select(landing_file_name("orders", F.col("extraction_date")).alias("file_name"),
                      "extraction_date", "record_count"))
-    # the ledger holds the files of the first two loads (dates from 1997-01-01 on)
-    ledger = (files.where(F.col("extraction_date") >= F.lit(testdata.THREE_LOADS[0][0]).cast("date"))
-              .select("file_name", F.lit(REVISION_STAMPS[0]).cast("timestamp_ntz").alias("loaded_at")))
+    # the ledger comes from other data: a file is loaded if a single piece was shipped on its date
+    ledger = (testdata.read_table(spark, sf_dir, "lineitem", "l_shipdate", "l_quantity").where("l_quantity = 1")
+              .select(landing_file_name("orders", F.to_date("l_shipdate")).alias("file_name")).distinct())
     return pending_files(files, ledger)
 
 
 # ------------------------------------------------------------------ publish
 
+@register("served_summary")
+def q_served_summary(spark, sf_dir):
+    """S6 + P7 + P9: the five served columns of the summary, names in lower case."""
+    from ..operators.publish import summary_for_push
+    summary = marts.daily_summary(fact_from_tables(spark, sf_dir))
+    return summary_for_push(summary.toDF(*[c.upper() for c in summary.columns])).orderBy("date_key")
+
+
 @register("push_payload_batches")
 def q_push_payload_batches(spark, sf_dir):
     """S7 + P8 + W3: batches of at most 10 summary rows in date order."""

@@ -376,9 +376,15 @@ WITH files AS (
          count(*) AS record_count
   FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) GROUP BY d
 ),
-ledger AS (SELECT file_name FROM files WHERE extraction_date >= DATE '1997-01-01')
+ledger AS (SELECT DISTINCT 'orders_' || strftime(l_shipdate, '%Y-%m-%d') || '.json' AS file_name FROM lineitem
+           WHERE l_quantity = 1)
 SELECT * FROM files f WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.file_name = f.file_name)"""
 
+ORACLE["served_summary"] = f"""
+WITH {FACT}
+SELECT date_key, total_orders, total_quantity, total_revenue, total_discounted_revenue
+FROM ({summary_select()}) ORDER BY date_key"""
+
 ORACLE["push_payload_batches"] = f"""
 WITH {FACT}, summ AS ({summary_select()}),
 numbered AS (SELECT *, row_number() OVER (ORDER BY date_key) AS rn FROM summ)
