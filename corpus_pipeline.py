@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import jaccard_join, line_dedup, packing, suffix_dedup, toxicity
-from tidemart.llm.common import apply_job_conf, documents, labels, pin
+from tidemart.llm.common import apply_job_conf, documents, labels, lightened, pin
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -31,7 +31,8 @@ def with_text(docs: DataFrame, text: Column, source: DataFrame) -> DataFrame:
 
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is not among ``ids`` (one column, whatever its name); null ids stay."""
-    ids = ids.select(F.col(ids.columns[0]).alias("_gone")).distinct()
+    ids = pin(ids.select(F.col(ids.columns[0]).alias("_gone")).distinct(), "gone")
+    ids = lightened(ids, F.lit(1), 1_000_000)
     return docs.join(ids, docs["doc_id"] == ids["_gone"], "left_anti")
 
 

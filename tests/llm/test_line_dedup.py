@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tidemart.llm import line_dedup
 
 
@@ -20,7 +22,9 @@ def texts():
     return out
 
 
-def test_recurring_templates_go_but_the_first(make_docs):
+@pytest.mark.parametrize("light", [0, line_dedup.LIGHT])
+def test_recurring_templates_go_but_the_first(make_docs, monkeypatch, light):
+    monkeypatch.setattr(line_dedup, "LIGHT", light)
     rows = [(1000 - i, t) for i, t in enumerate(texts())]
     rows += [(2000 + i, texts()[1]) for i in range(30)] + [(3000, None), (3001, ""), (None, texts()[0])]
     got = {r.doc_id: r for r in line_dedup.dedup(make_docs(rows), min_docs=10).collect()}

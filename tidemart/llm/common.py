@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemart.session import apply_job_conf, checkpoint_root, scratch_dir
 
-__all__ = ["apply_job_conf", "block_of", "components", "documents", "keyed", "labels", "n_blocks",
+__all__ = ["apply_job_conf", "block_of", "components", "documents", "keyed", "labels", "lightened", "n_blocks",
            "per_process", "pin", "text_bytes"]
 
 
@@ -52,6 +52,12 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lightened(written: DataFrame, weight: Column, most: int) -> DataFrame:
+    """A written table for a join: broadcast if its total weight is checked to be small, else shuffled as planned."""
+    total = written.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(written) if total <= most else written
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) of an undirected graph given as long pairs; root is the component's smallest node.
 

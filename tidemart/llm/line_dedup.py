@@ -14,7 +14,9 @@ operators that look for them.
 
 Counting works on distinct lines with their number of texts, combined before
 each shuffle, so a line in a third of all documents is one row per task. Only
-lines of leaves that are full enough are ever cut into tokens.
+lines of leaves that are full enough are ever cut into tokens. The full leaves,
+and the places of dropped lines, are broadcast while their checked number is
+small, which spares shuffling the texts; beyond that the joins shuffle.
 
 Defined results: lines are what ``\\n`` separates; tokens what single spaces
 separate, after tabs and carriage returns became spaces and the ends were
@@ -27,12 +29,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import keyed, pin
+from tidemart.llm.common import keyed, lightened, pin
 
 MIN_DOCS = 10  # distinct texts that make a leaf, a constant token and a template
 LEADING = 2  # tokens that choose the leaf
 MIN_CONSTANT = 0.5  # share of constant tokens in a template
 FIELD = "<*>"
+LIGHT = 1_000_000  # leaves, or places of dropped lines, that a join may broadcast
 VARIABLE = r"\S*[0-9]\S*"
 
 
@@ -77,7 +80,8 @@ def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
             leading: int = LEADING, min_constant: float = MIN_CONSTANT) -> DataFrame:
     """(doc_id, text_id, pos): the lines that go."""
     lines = lines_of(keyed(docs, id_col, text_col), leading)
-    some = pin(lines.join(full_leaves(lines, min_docs), "leaf", "left_semi")
+    full = lightened(pin(full_leaves(lines, min_docs), "leaves"), F.lit(1), LIGHT)
+    some = pin(lines.join(full, "leaf", "left_semi")
                .withColumn("masked", masked(F.col("line"))).drop("line")
                .withColumn("shape", F.xxhash64("masked")), "lines")
     found = some.drop("masked").join(templates(some, min_docs, min_constant), ["leaf", "shape"])
@@ -98,6 +102,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
     gone = (dropped(docs, id_col, text_col, min_docs, leading, min_constant)
             .groupBy("doc_id", "text_id").agg(F.sort_array(F.collect_list("pos")).alias("_dropped"))
             .select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text_id"), "_dropped"))
+    gone = lightened(pin(gone, "dropped"), F.size("_dropped") + 1, LIGHT)
     text = F.coalesce(docs[text_col], F.lit(""))
     all_columns = docs.columns
     joined = docs.withColumn("_key", docs[id_col].cast("long")).withColumn("_hash", F.xxhash64(text)).join(
