@@ -49,3 +49,25 @@ def test_without_labels_and_empty_table(spark, make_docs):
     got = toxicity.score(make_docs([(1, "a"), (2, None)]), none).collect()
     assert len({r.score for r in got}) == 1 and all(r.predicted == 0 for r in got)
     assert toxicity.score(make_docs([]), none).count() == 0
+
+
+def test_thinned_classes_keep_their_share(spark, make_docs, monkeypatch):
+    """Words in a fifth of the toxic and a thirtieth of the clean rows, one toxic in ten: alone, no ground for toxic."""
+    rng = random.Random(4)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(300)]
+    hints = ["mild", "sour", "rude"]
+    rows, labels = [], []
+    for i in range(3000):
+        toxic = i % 10 == 0
+        words = [rng.choice(vocab) for _ in range(20)] + [h for h in hints if rng.random() < (0.2 if toxic else 1 / 30)]
+        rows.append((i, " ".join(words + ["zounds"] * (toxic and rng.random() < 0.6))))
+        labels.append((i, int(toxic)))
+    probes = [(10_000 + k, t) for k, t in enumerate([*hints, "nothing", "zounds"])]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = []
+    for cap in (10_000, 250):
+        monkeypatch.setattr(toxicity, "SAMPLE_PER_CLASS", cap)
+        got.append({r.doc_id: r for r in toxicity.score(make_docs(rows + probes), labels).collect()})
+    assert [got[0][d].predicted for d, _ in probes] == [got[1][d].predicted for d, _ in probes]
+    assert [got[1][d].predicted for d, _ in probes] == [0, 0, 0, 0, 1]
+    assert sum(got[0][d].predicted != got[1][d].predicted for d, _ in rows) <= 0.01 * len(rows)

@@ -7,7 +7,9 @@ elsewhere. A generative label model estimates each voter's hit
 rates among toxic and clean documents by expectation maximisation over the vote
 matrix, and the correlation of each pair of voters given the label; voters that
 repeat each other share their weight. Its posterior labels train a logistic
-regression, which scores every document.
+regression, which scores every document. The sample takes at most
+SAMPLE_PER_CLASS rows of a class; each row counts as often as the labels of its
+class were thinned, so the prior and the rates are those of all training labels.
 
 Only ``text`` and the labels of the training rows are used. Defined results: a
 null text is empty, and every text gets a score. Without toxic training rows
@@ -84,12 +86,16 @@ class Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label_id: str, label_col: str) -> DataFrame:
-    """(doc_id, text, toxic) of a bounded sample of the labelled training rows, first by a hash of the id."""
+    """(doc_id, text, toxic, weight) of a bounded sample of the labelled training rows, first by a hash of the id.
+
+    ``weight`` is the number of training labels of the class that a row of the sample stands for.
+    """
     known = (labels.select(labels[label_id].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("toxic"))
              .where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .where(~held_out(F.col("doc_id"))))
+    totals = {r["toxic"]: r["n"] for r in known.where("toxic in (0, 1)").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     parts = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_CLASS)
-             for y in (0, 1)]
+             .withColumn("weight", F.lit(max(1.0, totals.get(y, 0) / SAMPLE_PER_CLASS))) for y in (0, 1)]
     # at most 2 * SAMPLE_PER_CLASS ids: safe to broadcast, so no text is shuffled
     return docs.join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
 
@@ -143,8 +149,8 @@ def votes(rows: DataFrame, voters: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.unpackbits(bits, axis=1)[:, :len(voters)].astype(np.float64), np.array([r["toxic"] for r in got])
 
 
-def label_model(v: np.ndarray, given: np.ndarray, prior: float, rounds: int = 30) -> np.ndarray:
-    """Posterior probability of the toxic label for each row of votes.
+def label_model(v: np.ndarray, given: np.ndarray, counts: np.ndarray, rounds: int = 30) -> np.ndarray:
+    """Posterior probability of the toxic label for each row of votes, where row i stands for ``counts[i]`` rows.
 
     Hit rates start from the given labels and are then estimated from the
     posterior; the given label itself is one more voter, wrong in LABEL_ERROR
@@ -154,13 +160,15 @@ def label_model(v: np.ndarray, given: np.ndarray, prior: float, rounds: int = 30
     """
     own = np.where(given == 1, 1, -1) * math.log((1 - LABEL_ERROR) / LABEL_ERROR)
     post = np.clip(given.astype(float), LABEL_ERROR, 1 - LABEL_ERROR)
+    toxic, every = counts[given == 1].sum(), counts.sum()
+    prior = (toxic + 1) / (every + 2)
     for _ in range(rounds):
-        on, off = post.sum(), (1 - post).sum()
-        rate1 = (post @ v + 0.5) / (on + 1)
-        rate0 = np.minimum(((1 - post) @ v + 0.05) / (off + 1), rate1)
-        left = v - (post[:, None] * rate1 + (1 - post)[:, None] * rate0)
-        spread = np.sqrt((left ** 2).mean(axis=0) + 1e-12)
-        alike = np.clip(left.T @ left / len(v) / np.outer(spread, spread), 0, 1)
+        on, off = counts * post, counts * (1 - post)
+        rate1 = (on @ v + 0.5) / (on.sum() + 1)
+        rate0 = np.minimum((off @ v + 0.05) / (off.sum() + 1), rate1)
+        left = (v - (post[:, None] * rate1 + (1 - post)[:, None] * rate0)) * np.sqrt(counts / every)[:, None]
+        spread = np.sqrt((left ** 2).sum(axis=0) + 1e-12)
+        alike = np.clip(left.T @ left / np.outer(spread, spread), 0, 1)
         np.fill_diagonal(alike, 1)
         weight = 1 / np.where(alike > 0.2, alike, 0).sum(axis=1)
         z = (v * (np.log(rate1 / rate0) * weight)).sum(axis=1)
@@ -172,16 +180,17 @@ def label_model(v: np.ndarray, given: np.ndarray, prior: float, rounds: int = 30
     return post
 
 
-def logistic(x: np.ndarray, target: np.ndarray, penalty: float = 0.1, rounds: int = 50) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression on soft labels, by Newton steps."""
+def logistic(x: np.ndarray, target: np.ndarray, counts: np.ndarray, penalty: float = 0.1,
+             rounds: int = 50) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression on soft labels of rows that stand for ``counts`` rows each, by Newton steps."""
     xb = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(xb.shape[1])
     ridge = np.full(xb.shape[1], penalty)
     ridge[-1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(xb @ w, -30, 30)))
-        step = np.linalg.solve((xb * (p * (1 - p) + 1e-9)[:, None]).T @ xb + np.diag(ridge),
-                               xb.T @ (target - p) - ridge * w)
+        step = np.linalg.solve((xb * (counts * (p * (1 - p) + 1e-9))[:, None]).T @ xb + np.diag(ridge),
+                               xb.T @ (counts * (target - p)) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -190,16 +199,18 @@ def logistic(x: np.ndarray, target: np.ndarray, penalty: float = 0.1, rounds: in
 
 def fit(docs: DataFrame, labels: DataFrame, label_id: str = "doc_id", label_col: str = "toxic") -> Model:
     rows = pin(training_rows(docs, labels, label_id, label_col), "toxic-sample")
-    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = n.get(1, 0), n.get(0, 0)
+    found = {r["toxic"]: r for r in rows.groupBy("toxic").agg(
+        F.count("*").alias("n"), F.first("weight").alias("weight")).collect()}
+    toxic, clean = (found[y]["n"] if y in found else 0 for y in (1, 0))
+    weight = np.array([found[y]["weight"] if y in found else 1.0 for y in (0, 1)])
     voters = find_voters(rows, toxic, clean) if toxic and clean else []
     if not voters:
-        return Model(bias=math.log((toxic + 1) / (clean + 1)) if toxic + clean else -4.0)
+        return Model(bias=math.log((toxic * weight[1] + 1) / (clean * weight[0] + 1)) if toxic + clean else -4.0)
     v, y = votes(rows, voters)
     _, first = np.unique(v, axis=1, return_index=True)  # voters that vote alike on every row count once
     voters, v = [voters[i] for i in sorted(first)], v[:, sorted(first)]
-    post = label_model(v, y, (toxic + 1) / (toxic + clean + 2))
-    weights, bias = logistic(v, post)
+    counts = weight[y]
+    weights, bias = logistic(v, label_model(v, y, counts), counts)
     return Model(voters, weights.tolist(), bias)
 
 
