@@ -53,3 +53,22 @@ def test_report_repeated_rows_long_lines_and_empty_table(make_docs):
     # "own3 thing" is half constant, so its template recurs too
     assert got[0] == (3, 0, "") and got[3] == (3, 3, "0,1,2") and got[11] == (3, 3, "0,1,2")
     assert line_dedup.report(make_docs([])).count() == 0
+
+
+def test_leading_tokens_make_no_template(make_docs):
+    """Unlike lines of four to six tokens under the same two, many with a common word: only what recurs goes."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    often = ["the", "a", "of"]
+    rows = []
+    for i in range(150):
+        lines = [f"It was {word()} {word()}", f"It was {rng.choice(often)} {word()}",
+                 f"It was {rng.choice(often)} {word()} {rng.choice(often)}",
+                 f"It was {word()} {rng.choice(often)} {word()} {word()}"]
+        if i % 10 == 0:
+            lines.append("It was all said here")  # equal lines among the unlike ones
+        lines.append(f"Sent by {word()} on day {i}")
+        rows.append((i, "\n".join(lines)))
+    for r in line_dedup.dedup(make_docs(rows)).collect():
+        kept = dict(rows)[r.doc_id].split("\n")
+        assert r._dropped == [k for k, x in enumerate(kept) if r.doc_id and x.startswith(("Sent by", "It was all"))]

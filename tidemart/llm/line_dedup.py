@@ -2,11 +2,14 @@
 
 A line goes down a tree of fixed depth: by its number of tokens, then by its
 leading tokens, where a token with a digit is a variable field. In a leaf that
-holds lines of enough documents, a token is constant if enough documents have it
-at its place, and a variable field otherwise; the constants and fields of a
-line make its template. A template that enough documents share, and that is
-constant for at least half, is recurring. Its first line, by document id and
-place, stays and all others are dropped.
+holds lines of enough documents, a token is constant if enough documents, and at
+least half of the leaf's, have it at its place, and a variable field otherwise;
+the constants and fields of a line make its template. The leading tokens are
+constant in any leaf, so a template must be constant for at least half of the
+tokens behind them. A line that has no such template, or no tokens behind, is its
+own template, with fields for digits only. A template that enough documents share
+is recurring. Its first line, by document id and place, stays and all others are
+dropped.
 
 Texts that are equal throughout count as one document here: whole copies are no
 evidence that a line is boilerplate, so groups of copies stay whole for the
@@ -33,7 +36,8 @@ from tidemart.llm.common import keyed, lightened, pin
 
 MIN_DOCS = 10  # distinct texts that make a leaf, a constant token and a template
 LEADING = 2  # tokens that choose the leaf
-MIN_CONSTANT = 0.5  # share of constant tokens in a template
+MIN_CONSTANT = 0.5  # share of constant tokens in a template, behind the leading ones or in a whole line
+MIN_SHARE = 0.5  # share of its leaf's lines that have a constant token at its place
 FIELD = "<*>"
 LIGHT = 1_000_000  # leaves, or places of dropped lines, that a join may broadcast
 VARIABLE = r"\S*[0-9]\S*"
@@ -58,22 +62,28 @@ def full_leaves(lines: DataFrame, min_docs: int) -> DataFrame:
             .where(F.col("texts") >= min_docs).select("leaf"))
 
 
-def templates(lines: DataFrame, min_docs: int, min_constant: float) -> DataFrame:
+def templates(lines: DataFrame, min_docs: int, leading: int, min_constant: float) -> DataFrame:
     """(leaf, shape, template) of the masked lines whose template has enough constants."""
     kinds = (lines.groupBy("leaf", "shape", "text_id").agg(F.first("masked").alias("masked"))
              .groupBy("leaf", "shape").agg(F.first("masked").alias("masked"), F.count("*").alias("texts")))
     # tokens travel with the line's hash, never with the line itself
     tokens = kinds.select("leaf", "shape", "texts", F.posexplode(F.split("masked", " ")).alias("i", "token"))
+    total = kinds.groupBy("leaf").agg(F.sum("texts").alias("total"))
     constant = (tokens.where(F.col("token") != FIELD).groupBy("leaf", "i", "token")
                 .agg(F.sum("texts").alias("n")).where(F.col("n") >= min_docs)
+                .join(total, "leaf").where(F.col("n") >= MIN_SHARE * F.col("total"))
                 .select("leaf", "i", "token", F.lit(1).alias("constant")))
     known = F.coalesce("constant", F.lit(0))
+    fields = F.xxhash64(F.sort_array(F.collect_list(F.struct(
+        "i", F.when(known == 1, F.col("token")).otherwise(FIELD).alias("token")))))
     return (tokens.join(constant, ["leaf", "i", "token"], "left")
             .groupBy("leaf", "shape")
-            .agg(F.avg(known).alias("share"),
-                 F.xxhash64(F.sort_array(F.collect_list(F.struct(
-                     "i", F.when(known == 1, F.col("token")).otherwise(FIELD).alias("token"))))).alias("template"))
-            .where(F.col("share") >= min_constant).select("leaf", "shape", "template"))
+            .agg(F.avg(F.when(F.col("i") >= leading, known)).alias("share"),
+                 F.avg((F.col("token") != FIELD).cast("int")).alias("words"),
+                 F.first("texts").alias("texts"), fields.alias("fields"))
+            .withColumn("templated", F.coalesce(F.col("share") >= min_constant, F.lit(False)))
+            .where(F.col("templated") | ((F.col("texts") >= min_docs) & (F.col("words") >= min_constant)))
+            .select("leaf", "shape", F.when(F.col("templated"), F.col("fields")).otherwise(F.col("shape")).alias("template")))
 
 
 def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
@@ -84,7 +94,7 @@ def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     some = pin(lines.join(full, "leaf", "left_semi")
                .withColumn("masked", masked(F.col("line"))).drop("line")
                .withColumn("shape", F.xxhash64("masked")), "lines")
-    found = some.drop("masked").join(templates(some, min_docs, min_constant), ["leaf", "shape"])
+    found = some.drop("masked").join(templates(some, min_docs, leading, min_constant), ["leaf", "shape"])
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_id", "pos")
     recurring = (found.groupBy("leaf", "template", "text_id").agg(F.min(place).alias("place"))
                  .groupBy("leaf", "template").agg(F.count("*").alias("texts"), F.min("place").alias("place"))
