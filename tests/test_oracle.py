@@ -7,7 +7,7 @@ from tidemart.plans.catalog import QUERIES
 from tidemart.plans.compare import compare, duck
 from tidemart.plans.oracle_sql import ORACLE
 
-from conftest import SF_SMALL
+from shared import SF_SMALL
 
 NAMES = sorted(QUERIES)
 

@@ -10,7 +10,7 @@ from tidemart.plans.catalog import QUERIES, fact_from_tables
 from tidemart.session import scratch_dir
 from tidemart.sources import testdata
 
-from conftest import SF_SMALL
+from shared import SF_SMALL
 
 
 def plan(df, capsys, mode="formatted"):

@@ -12,7 +12,7 @@ from tidemart.operators.assembly import assemble_orders
 from tidemart.sources import testdata
 from tidemart.sources.raw import to_raw
 
-from conftest import SF_SMALL
+from shared import SF_SMALL
 
 T0 = dt.datetime(2026, 3, 15, 1)
 T1 = dt.datetime(2026, 3, 16, 1)

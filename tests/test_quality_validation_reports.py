@@ -138,7 +138,7 @@ def test_scale_conf_sizes_partitions_to_the_data():
 
 def test_rollup_reports_equal_row_level_reports(spark):
     from tidemart.plans.catalog import fact_from_tables
-    from conftest import SF_SMALL
+    from shared import SF_SMALL
     fact = fact_from_tables(spark, SF_SMALL)
     # a dimension missing some products: unknown products must not form groups
     dim = (fact.select("product_id").distinct().where("product_id % 7 <> 0")
