@@ -1,0 +1,110 @@
+"""Whitening against plain big-integer moments and a dense eigensolver."""
+
+import math
+
+import numpy as np
+import pytest
+
+from tidemart.llm import whitening
+
+SCHEMA = "vec_id long, embedding array<float>, label int, component int, n long, key string, `a.b` string"
+
+
+def table(spark, vectors, ids=None):
+    rows = [(i, v, 1, 7, 8, "k", "x") for i, v in zip(ids or range(len(vectors)), vectors, strict=True)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def exact(vectors):
+    """(n, sums, covariance) of the distinct x vectors, in Python integers."""
+    x = sorted({tuple(math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v) for v in vectors})
+    n, sums = len(x), [sum(c) for c in zip(*x, strict=True)]
+    z = np.array([[n * a - s for a, s in zip(v, sums, strict=True)] for v in x], dtype=object)
+    return n, sums, (z.T @ z).astype(float) / float(n) ** 3
+
+
+def run(df):
+    return whitening.whiten(df, whitening.fit(df))
+
+
+@pytest.fixture(scope="module")
+def vectors():
+    rng = np.random.default_rng(3)
+    v = (rng.normal(size=(300, 24)) @ rng.normal(size=(24, 24)) + 5).astype(np.float32).tolist()
+    return v + v[:120] + [v[0]] * 200
+
+
+def test_equals_exact_moments_and_dense_eigenvectors(spark, vectors):
+    got = run(table(spark, vectors)).collect()
+    n, sums, cov = exact(vectors)
+    values, basis = np.linalg.eigh(cov)
+    values, basis = values[::-1][:16], basis[:, ::-1][:, :16]
+    assert len(got) == len(vectors) * 16
+    assert {r["n"] for r in got} == {n} and {r["identity_error"] for r in got} == {got[0]["identity_error"]}
+    assert got[0]["identity_error"] < 1e-9
+    w = np.zeros((len(vectors), 16))
+    for r in got:
+        w[r["vec_id"], r["component"] - 1] = r["whitened"]
+        assert r["explained"] == pytest.approx(values[r["component"] - 1] / cov.trace(), rel=1e-10)
+        x = [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in vectors[r["vec_id"]]]
+        assert r["deviation"] == r["deviation_exact"] == sum((n * a - s) ** 2 for a, s in zip(x, sums, strict=True))
+    x = np.floor(64 * np.array(vectors, dtype=np.float64)) + 1_000_000
+    mean = np.array([s / n for s in sums])
+    want = (x - mean) @ basis / np.sqrt(values)
+    sign = np.sign((w * want).sum(axis=0))
+    assert np.abs(w - want * sign).max() < 1e-7
+
+
+def test_unusable_rows_go_and_ids_repeat(spark, vectors):
+    bad = [None, [None] + vectors[0][1:], [float("nan")] + vectors[0][1:], [float("inf")] + vectors[0][1:], [], [1.0]]
+    ids = [*range(len(vectors)), *range(900, 906)]
+    df = table(spark, vectors + bad, ids)
+    assert {r["vec_id"] for r in run(df).select("vec_id").distinct().collect()} == set(range(len(vectors)))
+    same = table(spark, [*vectors[:40], vectors[0]], [*[5] * 40, None])
+    assert run(same).count() == 41 * 16
+
+
+@pytest.mark.parametrize("vectors", [[], [None], [[1.0, 2.0]], [[1.0, 2.0]] * 9, [[], []]])
+def test_tables_without_spread(spark, vectors):
+    got = run(table(spark, vectors))
+    assert got.count() == 0
+    assert got.columns == [c.split()[0] for c in whitening.WHITENED.split(", ")]
+
+
+def test_low_rank_and_flat_dimensions(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(-8, 8, size=(50, 2))
+    v = np.concatenate([base, base[:, :1] * 3, np.ones((50, 2))], axis=1).astype(float).tolist()
+    got = run(table(spark, v)).collect()
+    assert {r["component"] for r in got} == {1, 2}
+    assert sum({r["component"]: r["explained"] for r in got}.values()) == pytest.approx(1)
+
+
+def test_wide_entries_stay_exact(spark):
+    v = [[1e12, -3e9, 0.5], [2.5e12, 7.0, -1e10], [-1e11, 5e9, 1e16], [4.0, 4.0, 4.0]]
+    got = run(table(spark, v)).collect()
+    n, sums, cov = exact(v)
+    for r in got:
+        x = [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v[r["vec_id"]]]
+        want = sum((n * a - s) ** 2 for a, s in zip(x, sums, strict=True))
+        assert int(r["deviation_exact"]) == want and r["deviation"] in (None, want)
+    top = np.linalg.eigvalsh(cov)[-1]
+    assert got[0]["explained"] == pytest.approx(top / cov.trace() if got[0]["component"] == 1 else got[0]["explained"])
+
+
+def test_factor_and_rotation():
+    rng = np.random.default_rng(9)
+    a = rng.normal(size=(12, 7))
+    v = a @ a.T
+    factor, order = whitening.pivoted_cholesky(v)
+    assert factor.shape == (12, 7) and np.allclose(np.triu(factor, 1), 0)
+    assert np.allclose(factor @ factor.T, v[np.ix_(order, order)])
+    turned = whitening.one_sided_jacobi(factor)
+    inner = turned.T @ turned
+    assert np.allclose(inner, np.diag(inner.diagonal()), atol=1e-12)
+    assert np.allclose(np.sort(inner.diagonal()), np.linalg.eigvalsh(v)[-7:])
+
+
+def test_limbs_restore():
+    y = np.array([[5, -7], [1 << 40, -(1 << 60)]], dtype=np.int64)
+    assert (sum(p << whitening.LIMB * k for k, p in enumerate(whitening.limbs(y))) == y).all()

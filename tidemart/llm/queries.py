@@ -16,6 +16,7 @@ from tidemart.llm import (
     suffix_dedup,
     toxicity,
     url_filters,
+    whitening,
 )
 from tidemart.llm.common import apply_job_conf, documents, labels
 
@@ -70,6 +71,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), VOCABULARY)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_bpe": op2_bpe,
@@ -81,6 +87,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLE = {
