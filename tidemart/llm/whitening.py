@@ -20,7 +20,7 @@ Only numbers of dimensions squared reach the driver, whatever the row count.
 Defined results: rows whose vector is null, holds null or non-finite entries, or
 has another length than most vectors have (of equally frequent lengths, the
 longest), are dropped. Ids may be null or repeat: each row left gives its own
-rows. x saturates at 2**61. A table without spread, or with a single distinct
+rows. 64 c saturates at 2**61. A table without spread, or with a single distinct
 vector, has no component and gives no rows; so does an empty table. Components
 whose variance is below ``RANK`` of the largest are left out, as rounding rules
 them; equal eigenvalues leave their components' directions open, with the same
@@ -43,7 +43,7 @@ from tidemart.llm.common import pin
 
 SCALE, SHIFT = 64, 1_000_000
 COMPONENTS = 16
-MOST = 1 << 61  # largest absolute x
+MOST = 1 << 61  # largest absolute x less the shift
 LIMB = 21  # bits of a limb: products of two and the sums of a chunk of them are exact in double precision
 CHUNK = 1 << 10  # rows whose products are added in double precision
 RANK = 1e-11
@@ -56,8 +56,8 @@ EXACT = pa.decimal128(38, 0)
 
 def integers(c: np.ndarray) -> np.ndarray:
     """x of finite entries."""
-    c = np.floor(c.astype(np.float64) * SCALE) + SHIFT
-    return np.clip(c, -float(MOST), float(MOST)).astype(np.int64)
+    c = np.floor(c.astype(np.float64) * SCALE)
+    return np.clip(c, -float(MOST), float(MOST)).astype(np.int64) + SHIFT
 
 
 def packed(x: np.ndarray) -> list[bytes]:
