@@ -13,6 +13,7 @@ from tidemart.llm import (
     lm_scoring,
     packing,
     quality_rules,
+    substring_dedup,
     suffix_dedup,
     toxicity,
     url_filters,
@@ -76,6 +77,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(vectors, whitening.fit(vectors))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_bpe": op2_bpe,
@@ -88,6 +93,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
     "op11_whitening": op11_whitening,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 ORACLE = {
