@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm import (
+    alignment,
     bpe,
     fingerprints,
     jaccard_join,
@@ -22,6 +23,7 @@ from tidemart.llm import (
 from tidemart.llm.common import apply_job_conf, documents, labels
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 # the contract's rules (host, path)
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -77,6 +79,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(vectors, whitening.fit(vectors))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_job_conf(spark)
+    return alignment.align(documents(spark, sf_dir), VOCABULARY, PIECES)
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(documents(spark, sf_dir))
 
@@ -93,6 +100,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_packing": op10_packing,
     "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
     "op13_substring_dedup": op13_substring_dedup,
 }
 
