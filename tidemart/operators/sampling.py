@@ -1,7 +1,14 @@
-"""Rerun-stable sampling (G3/X18) and per-day id blocks."""
+"""Rerun-stable sampling (G3/X18) and per-day id blocks.
+
+Two kinds of samples: ``stable_sample`` picks from a group's own rows, and
+``sample_for_each`` gives every group rows of one common catalogue, as the order
+generator does for each date.
+"""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.dates import ORDER_ID_BLOCK, day_index, iso_date
@@ -23,6 +30,44 @@ def stable_sample(df: DataFrame, group_col: str, key_col: str, k: int) -> DataFr
               .where(F.col("pick_rank") <= F.lit(k)))
 
 
+def next_prime(n: int) -> int:
+    """The smallest prime that is at least ``n``."""
+    c = max(n, 2)
+    while any(c % d == 0 for d in range(2, math.isqrt(c) + 1)):
+        c += 1
+    return c
+
+
+def sample_for_each(groups: DataFrame, group_col: str, catalogue: DataFrame, key_col: str, k: int) -> DataFrame:
+    """For each group, least(k, n) distinct rows of a catalogue of n, the same on every run.
+
+    The catalogue's keys are numbered 0..n-1 in key order. With p the smallest prime from n on,
+    j -> (a j + b) mod p is a permutation of 0..p-1, and a (not 0) and b come from the group's md5.
+    A group's picks are its first k values below n, so they differ by construction, and as at most
+    p - n values lie beyond the catalogue, k + p - n slots always hold them. Groups and catalogue
+    meet in an equi-join on the number: every group gets k rows, and no pair that is not a pick
+    is ever made. Over all a and b any ordered pair of picks is equally likely.
+
+    Groups are the distinct values of ``group_col``, null being one of them. Rows of the catalogue
+    whose key is null can't be picked; its keys must not repeat. An empty catalogue gives no rows.
+    Adds ``pick_rank`` (1..k).
+    """
+    numbered = sequence_number(catalogue.where(F.col(key_col).isNotNull()), [key_col], out_col="_number")
+    n = numbered.count()
+    p = next_prime(n)
+    is_date = dict(groups.dtypes)[group_col] == "date"
+    name = F.coalesce(iso_date(F.col(group_col)) if is_date else F.col(group_col).cast("string"), F.lit(""))
+    digest = F.md5(name)
+    part = lambda at: F.conv(F.substring(digest, at, 13), 16, 10).cast("bigint")
+    a, b = F.lit(1) + F.pmod(part(1), F.lit(p - 1)), F.pmod(part(14), F.lit(p))
+    slots = F.transform(F.sequence(F.lit(0), F.lit(min(p, k + p - n) - 1)), lambda j: F.pmod(a * j + b, F.lit(p)))
+    picks = F.slice(F.filter(slots, lambda x: x < n), 1, k)
+    chosen = (groups.select(group_col).distinct()
+              .select(group_col, F.posexplode(picks).alias("_slot", "_pick")))
+    return (chosen.join(numbered, F.col("_pick") + 1 == F.col("_number"))
+            .withColumn("pick_rank", F.col("_slot") + 1).drop("_slot", "_pick", "_number"))
+
+
 class BlockOverflowError(RuntimeError):
     pass
 

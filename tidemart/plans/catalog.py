@@ -235,6 +235,20 @@ def q_stable_daily_sample(spark, sf_dir):
     return stable_sample(fact, "date_key", "order_item_key", 3)
 
 
+SAMPLE_SIZE = 5  # as many items as the reference's orders have at most
+
+
+@register("catalogue_sample_per_date")
+def q_catalogue_sample_per_date(spark, sf_dir):
+    """Five distinct products of the whole catalogue for every order date."""
+    from ..functions.pricing import to_double
+    from ..operators.sampling import sample_for_each
+    dates = testdata.order_headers(spark, sf_dir).select("extraction_date")
+    products = testdata.catalogue(spark, sf_dir).select(
+        "product_id", "title", to_double("unit_price").alias("price"))
+    return sample_for_each(dates, "extraction_date", products, "product_id", SAMPLE_SIZE)
+
+
 # ------------------------------------------------------------------ incremental
 
 def _union(frames):

@@ -296,6 +296,31 @@ SELECT date_key, order_item_key,
 FROM fact
 QUALIFY pick_rank <= 3"""
 
+ORACLE["catalogue_sample_per_date"] = """
+WITH size AS (SELECT count(*) AS n FROM part WHERE p_partkey IS NOT NULL),
+prime AS (
+  SELECT min(c) AS p FROM (SELECT unnest(range(greatest(n, 2), greatest(n, 2) + 1000)) AS c FROM size)
+  WHERE NOT EXISTS (SELECT 1 FROM range(2, 100000) d(d) WHERE d * d <= c AND c % d = 0)
+),
+dates AS (
+  SELECT DISTINCT CAST(o_orderdate AS DATE) AS extraction_date,
+         md5(coalesce(strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d'), '')) AS h
+  FROM orders
+),
+slots AS (
+  SELECT extraction_date, j,
+         ((1 + ('0x' || substr(h, 1, 13))::BIGINT % (p - 1)) * j + ('0x' || substr(h, 14, 13))::BIGINT % p) % p AS pick
+  FROM (SELECT *, unnest(range(0, least(p, 5 + p - n))) AS j FROM dates, size, prime)
+),
+picks AS (
+  SELECT extraction_date, pick, row_number() OVER (PARTITION BY extraction_date ORDER BY j) AS pick_rank
+  FROM slots, size WHERE pick < n QUALIFY pick_rank <= 5
+),
+numbered AS (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS number FROM part WHERE p_partkey IS NOT NULL)
+SELECT extraction_date, CAST(pick_rank AS INTEGER) AS pick_rank, p_partkey AS product_id, p_name AS title,
+       CAST(CAST(p_retailprice AS DECIMAL(14,2)) AS DOUBLE) AS price
+FROM picks JOIN numbered ON pick = number"""
+
 _STAMP_CASE = """CASE WHEN extraction_date >= DATE '1999-01-01' THEN TIMESTAMP '2026-01-01 02:00:00'
             WHEN extraction_date >= DATE '1997-01-01' THEN TIMESTAMP '2026-01-01 01:00:00'
             ELSE TIMESTAMP '2026-01-01 03:00:00' END"""
