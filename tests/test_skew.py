@@ -103,11 +103,11 @@ def test_hot_order_is_split_over_envelopes(spark, workdir):
     rest = spark.range(300).select((F.col("id") + 100).cast("int").alias("order_id"), F.lit(0).alias("page"))
     nested = hot.unionByName(rest).select("order_id", "page", F.lit(HOT_DAY).alias("extraction_date"), record.alias("record"))
     nested = nested.unionByName(nested.where("order_id = 105").withColumn("extraction_date", F.lit(None).cast("date")))
-    env = landing.build_envelopes(nested, "orders", page_records=1000, weight=F.size("record.products"))
+    folder = landing.land_orders(nested, workdir, page_records=1000)
+    env = landing.judge(landing.read_files(spark, folder, "orders"), "orders")
     sizes = [r.n for r in env.select(F.size("data").alias("n")).collect()]
     assert max(sizes) < 200 and sum(sizes) == 1960 + 301
     per_day = {r.extraction_date: r.n for r in env.groupBy("extraction_date").agg(F.sum("record_count").alias("n")).collect()}
     assert per_day == {HOT_DAY.isoformat(): 301, None: 1}  # orders, not pages
-    assert landing.envelope_count_mismatches(env).count() == 0
-    back = landing.read_envelopes(spark, landing.write_envelopes(env, workdir, "orders"), "orders")
-    assert back.select(F.size("data").alias("n")).agg(F.sum("n")).first()[0] == 1960 + 301
+    assert landing.count_mismatches(env).count() == 0
+    assert landing.unwrap(env).count() == 1960 + 301

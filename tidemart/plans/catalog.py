@@ -258,20 +258,30 @@ def _union(frames):
     return out
 
 
-@register("daily_summary_incremental")
-def q_daily_summary_incremental(spark, sf_dir):
-    """I1-I6 + A2: three loads (the last a backfill of the oldest dates) merged one by
-    one into partitioned fact and summary tables; ends equal to a full rebuild."""
+def incremental_summary(spark, sf_dir, undated=0):
     from ..operators.incremental import Marts
     from ..session import scratch_dir
     m = Marts(spark, scratch_dir(spark, "incremental"), fact_grain="year")
-    loads = [testdata.load_items(spark, sf_dir, i) for i in range(len(testdata.THREE_LOADS))]
+    loads = [testdata.load_items(spark, sf_dir, i, undated) for i in range(len(testdata.THREE_LOADS))]
     for i in range(len(loads)):
         # raw accumulates; the mark filter inside refresh picks the new load only
         m.refresh(_union(loads[: i + 1]))
     return m.summary.read().select(*marts.SUMMARY_COLUMNS)
 
 
+@register("daily_summary_incremental")
+def q_daily_summary_incremental(spark, sf_dir):
+    """I1-I6 + A2: three loads (the last a backfill of the oldest dates) merged one by
+    one into partitioned fact and summary tables; ends equal to a full rebuild."""
+    return incremental_summary(spark, sf_dir)
+
+
+@register("daily_summary_incremental_undated")
+def q_daily_summary_incremental_undated(spark, sf_dir):
+    """I5 + I6 + A2 with planted orders without a date, which the backfill brings."""
+    return incremental_summary(spark, sf_dir, testdata.UNDATED)
+
+
 REVISION_STAMPS = ("2026-01-01 01:00:00", "2026-01-01 02:00:00")
 
 
@@ -407,21 +417,102 @@ def q_push_upsert_counts(spark, sf_dir):
     return push_to_table(summary, target)
 
 
+def landed_orders(spark, sf_dir, undated=0):
+    """The landing folder with a file for each order date, written by the named sink."""
+    from ..operators.assembly import assemble_orders
+    from ..session import scratch_dir
+    from ..sources.landing import land_orders
+    nested = assemble_orders(testdata.order_headers(spark, sf_dir, undated=undated), testdata.priced_lines(spark, sf_dir))
+    return land_orders(nested, scratch_dir(spark, "landing"))
+
+
+def base_name(file_name):
+    """A file's name without its page."""
+    from pyspark.sql import functions as F
+    return F.regexp_replace(file_name, r"_p\d+\.json$", ".json")
+
+
 @register("order_envelope")
 def q_order_envelope(spark, sf_dir):
-    """S5 + A10: landing envelopes of the nested orders, per date."""
+    """S5 + A10: the nested orders landed as one named file per date and read back; the records
+    of ``data`` against the count that the file states, and their sums."""
     from pyspark.sql import functions as F
-    from ..sources.landing import build_envelopes
-    from ..sources.raw import landing_file_name
+    from ..functions.variant import path
+    from ..sources.landing import judge, read_files
+    files = judge(read_files(spark, landed_orders(spark, sf_dir), "orders"), "orders")
+    sums = (files.select("file_name", F.explode("data").alias("r"))
+            .groupBy(base_name(F.col("file_name")).alias("file_name"))
+            .agg(F.count_distinct(path("r", "$.id", "bigint")).alias("orders"),
+                 F.sum(path("r", "$.totalQuantity", "bigint")).alias("quantity"),
+                 F.sum(path("r", "$.total", "decimal(14,2)")).cast("double").alias("total")))
+    heads = (files.groupBy(base_name(F.col("file_name")).alias("file_name"), "extraction_date", "source")
+             .agg(F.sum("record_count").alias("record_count"), F.count("reason").alias("broken_files")))
+    return heads.join(sums, "file_name", "left").select(
+        F.col("extraction_date").cast("date").alias("extraction_date"), "source", "record_count",
+        "broken_files", "orders", "quantity", "total", "file_name")
+
+
+@register("landed_order_items")
+def q_landed_order_items(spark, sf_dir):
+    """S5 + S1 + S2 + J2: every item of every record of the landed files, with the file it came from."""
+    from pyspark.sql import functions as F
+    from ..functions.variant import path
+    from ..operators.staging import stage_order_items
+    from ..sources.landing import judge, read_files, to_raw_rows, unwrap
+    judged = judge(read_files(spark, landed_orders(spark, sf_dir), "orders"), "orders")
+    raw = to_raw_rows(unwrap(judged), None).withColumn("order_id", path("raw_data", "$.record.id", "bigint"))
+    names = raw.select("order_id", base_name(path("raw_data", "$.source_file", "string")).alias("source_file")).distinct()
+    return stage_order_items(raw.select("raw_data", "loaded_at")).drop("loaded_at").join(names, "order_id", "left")
+
+
+@register("relanded_dates")
+def q_relanded_dates(spark, sf_dir):
+    """S4 + T1: all dates landed and loaded; then all landed again, and loaded by the same stream
+    and by one with a new checkpoint. Each file of the ledger with its loads and its raw rows."""
+    from pyspark.sql import functions as F
+    from ..functions.variant import path
     from ..operators.assembly import assemble_orders
+    from ..session import scratch_dir
+    from ..sources.landing import land_orders
+    from ..streaming.ingest import RawTable, ingest
+    root = scratch_dir(spark, "relanded")
     nested = assemble_orders(testdata.order_headers(spark, sf_dir), testdata.priced_lines(spark, sf_dir))
-    env = build_envelopes(nested, "orders", weight=F.size("record.products"))
-    return (env.groupBy("extraction_date", "source")
-               .agg(F.sum("record_count").alias("record_count"),
-                    F.count_if(F.col("record_count") != F.size("data")).alias("count_mismatches"))
-               .select(F.col("extraction_date").cast("date").alias("extraction_date"), "source",
-                       "record_count", "count_mismatches",
-                       landing_file_name("orders", F.col("extraction_date").cast("date")).alias("file_name")))
+    raw = RawTable(spark, f"{root}/raw_orders")
+    for checkpoint in ("first", "first", "second"):
+        folder = land_orders(nested, f"{root}/landing")
+        ingest(spark, folder, "orders", raw, f"{root}/{checkpoint}")
+    rows = (raw.read().groupBy(path("raw_data", "$.source_file", "string").alias("file_name"))
+            .agg(F.count("*").alias("raw_rows")))
+    return (raw.ledger().groupBy("file_name").agg(F.count("*").alias("loads"), F.sum("n_records").alias("records"))
+            .join(rows, "file_name", "left"))
+
+
+BROKEN_DAY = 13
+
+
+@register("ingest_broken_files")
+def q_ingest_broken_files(spark, sf_dir):
+    """S3: the files of every 13th of a month are cut off in the middle of a record; the others load and
+    the broken ones are reported. Landed anew, whole, they load as well. What each run did with each file."""
+    from pyspark.sql import functions as F
+    from ..operators.assembly import assemble_orders
+    from ..session import scratch_dir
+    from ..sources.landing import paged_records, source_folder, write_files
+    from ..streaming.ingest import RawTable, ingest
+    root = scratch_dir(spark, "broken")
+    nested = assemble_orders(testdata.order_headers(spark, sf_dir), testdata.priced_lines(spark, sf_dir))
+    records = paged_records(nested, "orders", weight=F.size("record.products"))
+    hit = F.dayofmonth(F.to_date("extraction_date")) == BROKEN_DAY
+    cut = records.withColumn("record", F.when(hit, F.substring("record", 1, 20)).otherwise(F.col("record")))
+    raw, folder, seen = RawTable(spark, f"{root}/raw_orders"), source_folder(f"{root}/landing", "orders"), []
+    for run, landed in enumerate((cut, records.where(hit)), 1):
+        write_files(landed, folder)
+        ingest(spark, folder, "orders", raw, f"{root}/checkpoint")
+        told = raw.rejected().select(F.lit(run).alias("run"), "file_name", "reason", F.lit(None).cast("bigint").alias("records"))
+        done = raw.ledger().select(F.lit(run).alias("run"), "file_name", F.lit(None).cast("string").alias("reason"),
+                                   F.col("n_records").alias("records"))
+        seen.append(done.unionByName(told).checkpoint())
+    return seen[0].unionByName(seen[1])
 
 
 # ------------------------------------------------------------------ streaming
@@ -429,21 +520,18 @@ def q_order_envelope(spark, sf_dir):
 BACKFILL_BEFORE = "1997-01-01"
 
 
-@register("stream_file_ingest_summary")
-def q_stream_file_ingest_summary(spark, sf_dir):
-    """S1-S3 + T1 + T2: nested orders landed as JSON envelopes, picked up by an
-    availableNow file stream into a raw variant table, merged into the marts;
-    then older dates land (a backfill) and a second run picks up only those."""
+def streamed_summary(spark, sf_dir, undated=0):
+    """The summary after two landings of the nested orders, each picked up by the stream."""
     from pyspark.sql import functions as F
     from ..operators import staging
     from ..operators.assembly import assemble_orders
     from ..operators.incremental import Marts
     from ..session import scratch_dir
-    from ..sources.landing import build_envelopes, write_envelopes
+    from ..sources.landing import land_orders
     from ..streaming.ingest import RawTable, ingest
 
     root = scratch_dir(spark, "stream")
-    nested = assemble_orders(testdata.order_headers(spark, sf_dir), testdata.priced_lines(spark, sf_dir))
+    nested = assemble_orders(testdata.order_headers(spark, sf_dir, undated=undated), testdata.priced_lines(spark, sf_dir))
     m = Marts(spark, f"{root}/marts", fact_grain="year")
     raw = RawTable(spark, f"{root}/raw_orders")
 
@@ -451,9 +539,23 @@ def q_stream_file_ingest_summary(spark, sf_dir):
         after = m.fact.mark() if m.fact.exists() else None
         m.refresh(staging.stage_order_items(raw.read(after)))
 
-    cut = F.col("extraction_date") < F.lit(BACKFILL_BEFORE).cast("date")
-    for part in (~cut, cut):
-        write_envelopes(build_envelopes(nested.where(part), "orders"), f"{root}/landing", "orders")
-        ingest(spark, f"{root}/landing/orders", "orders", raw, f"{root}/ckpt/orders",
-               on_batch=refresh)
+    # two parts that are the whole table: undated orders land first
+    late = F.coalesce(F.col("extraction_date") < F.lit(BACKFILL_BEFORE).cast("date"), F.lit(False))
+    for part in (~late, late):
+        folder = land_orders(nested.where(part), f"{root}/landing")
+        ingest(spark, folder, "orders", raw, f"{root}/ckpt/orders", on_batch=refresh)
     return m.summary.read().drop("loaded_at")
+
+
+@register("stream_file_ingest_summary")
+def q_stream_file_ingest_summary(spark, sf_dir):
+    """S1-S3 + T1 + T2: nested orders landed as named files, picked up by an
+    availableNow file stream into a raw variant table, merged into the marts;
+    then older dates land (a backfill) and a second run picks up only those."""
+    return streamed_summary(spark, sf_dir)
+
+
+@register("stream_undated")
+def q_stream_undated(spark, sf_dir):
+    """T1 + T2 + S1 + S2 with planted orders without a date: they have a file, and a row of the summary."""
+    return streamed_summary(spark, sf_dir, testdata.UNDATED)

@@ -359,7 +359,7 @@ v2 AS (
            AS line_discounted_total,
          CAST(l.l_shipdate AS DATE) AS extraction_date,
          TIMESTAMP '2026-01-01 02:00:00' AS loaded_at
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
   WHERE l.l_returnflag = 'R'
 ),
 allv AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2),
@@ -376,13 +376,13 @@ items AS (
          CAST(pl.tax AS DOUBLE) AS tax_percentage,
          CAST(o.o_orderdate AS DATE) AS date_key,
          CAST(pl.order_id AS VARCHAR) || '_' || CAST(pl.product_id AS VARCHAR) AS order_item_key
-  FROM priced_lines pl JOIN orders o ON pl.order_id = o.o_orderkey
+  FROM priced_lines pl LEFT JOIN orders o ON pl.order_id = o.o_orderkey
 ),
 f1 AS (
   SELECT order_item_key, order_id, product_id, date_key, quantity, unit_price, line_total,
          line_discounted_total, CAST(NULL AS DOUBLE) AS tax_percentage,
          TIMESTAMP '2026-01-01 01:00:00' AS loaded_at
-  FROM items WHERE date_key < DATE '1998-01-01'
+  FROM items WHERE date_key < DATE '1998-01-01' OR date_key IS NULL
   QUALIFY row_number() OVER (PARTITION BY order_item_key ORDER BY date_key DESC, quantity DESC,
           unit_price DESC, line_total DESC, discount_percentage DESC, line_discounted_total DESC) = 1
 ),
@@ -429,25 +429,65 @@ SELECT CAST((rn - 1) // 10 AS BIGINT) AS batch_id,
        CAST(sum(CASE WHEN date_key >= DATE '1997-01-01' THEN 1 ELSE 0 END) AS INTEGER) AS updated
 FROM numbered GROUP BY 1"""
 
-ORACLE["order_envelope"] = """
+_FILE_NAME = "'orders_' || coalesce(strftime({d}, '%Y-%m-%d'), 'undated') || '.json'"
+
+ORACLE["order_envelope"] = f"""
+WITH {ORDER_TOTALS}
 SELECT CAST(o_orderdate AS DATE) AS extraction_date, 'orders' AS source,
-       count(*) AS record_count, CAST(0 AS BIGINT) AS count_mismatches,
-       'orders_' || strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') || '.json' AS file_name
+       CAST(count(*) AS BIGINT) AS record_count, CAST(0 AS BIGINT) AS broken_files, count(DISTINCT o_orderkey) AS orders,
+       CAST(sum(coalesce(q, 0)) AS BIGINT) AS quantity, CAST(sum(CAST(coalesce(t, 0) AS DECIMAL(14,2))) AS DOUBLE) AS total,
+       {_FILE_NAME.format(d='CAST(o_orderdate AS DATE)')} AS file_name
+FROM orders LEFT JOIN totals ON order_id = o_orderkey GROUP BY CAST(o_orderdate AS DATE)"""
+
+ORACLE["landed_order_items"] = f"""
+WITH {STAGED_ITEMS}
+SELECT s.* EXCLUDE (loaded_at), {_FILE_NAME.format(d='extraction_date')} AS source_file
+FROM staged_items s JOIN orders ON order_id = o_orderkey"""
+
+ORACLE["relanded_dates"] = f"""
+SELECT {_FILE_NAME.format(d='CAST(o_orderdate AS DATE)')} AS file_name, CAST(1 AS BIGINT) AS loads,
+       CAST(count(*) AS BIGINT) AS records, CAST(count(*) AS BIGINT) AS raw_rows
 FROM orders GROUP BY CAST(o_orderdate AS DATE)"""
 
+ORACLE["ingest_broken_files"] = f"""
+WITH files AS (
+  SELECT CAST(o_orderdate AS DATE) AS d, {_FILE_NAME.format(d='CAST(o_orderdate AS DATE)')} AS file_name,
+         CAST(count(*) AS BIGINT) AS records
+  FROM orders GROUP BY CAST(o_orderdate AS DATE)
+)
+SELECT CAST(run AS INTEGER) AS run, file_name,
+       CASE WHEN run = 1 AND day(d) = 13 THEN 'not one JSON document' END AS reason,
+       CASE WHEN run = 1 AND day(d) = 13 THEN NULL ELSE records END AS records
+FROM files, (VALUES (1), (2)) AS r(run)"""
+
 ORACLE["stream_file_ingest_summary"] = f"""
 WITH {FACT}
 SELECT date_key, total_orders, total_quantity, total_revenue, total_discounted_revenue
 FROM ({summary_select()})"""
 
+# the orders with the planted missing dates
+_UNDATED_ITEMS = """undated_orders AS (
+  SELECT * REPLACE (CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS o_orderdate) FROM orders
+),""" + STAGED_ITEMS.replace("LEFT JOIN orders o", "LEFT JOIN undated_orders o")
+
+ORACLE["stream_undated"] = f"""
+WITH {_UNDATED_ITEMS}, {fact_from('staged_items')}
+SELECT date_key, total_orders, total_quantity, total_revenue, total_discounted_revenue
+FROM ({summary_select()})"""
+
+ORACLE["daily_summary_incremental_undated"] = (
+    f"WITH {_STAMPED.replace(STAGED_ITEMS, _UNDATED_ITEMS)}, {fact_from('stamped')}\n{summary_select()}")
+
 ORACLE["affected_summary_recompute"] = f"""
 WITH {_STAMPED}, {fact_from('stamped')},
 before_last AS (SELECT * FROM fact WHERE loaded_at < TIMESTAMP '2026-01-01 03:00:00'),
 summ AS ({summary_select('before_last')}),
+affected AS (
+  SELECT DISTINCT date_key FROM fact
+  WHERE loaded_at > (SELECT coalesce(max(loaded_at), TIMESTAMP '1900-01-01') FROM summ)
+),
 affected_fact AS (
-  SELECT * FROM fact WHERE date_key IN (
-    SELECT DISTINCT date_key FROM fact
-    WHERE loaded_at > (SELECT coalesce(max(loaded_at), TIMESTAMP '1900-01-01') FROM summ))
+  SELECT * FROM fact f WHERE EXISTS (SELECT 1 FROM affected a WHERE a.date_key IS NOT DISTINCT FROM f.date_key)
 )
 {summary_select('affected_fact')}"""
 

@@ -50,16 +50,16 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pricing.price_lines(lines.join(cat, "product_id", "left"))
 
 
-def order_headers(spark: SparkSession, sf_dir: str, date_range: tuple | None = None) -> DataFrame:
+def order_headers(spark: SparkSession, sf_dir: str, date_range: tuple | None = None, undated: int = 0) -> DataFrame:
     """Order headers; ``date_range=(lo, hi)`` keeps order dates in [lo, hi) (either may
-    be None), filtered on the raw column so the predicate reaches the Parquet scan."""
+    be None), filtered on the raw column so the predicate reaches the Parquet scan. A range
+    without a beginning also keeps orders without a date. ``undated`` plants such orders:
+    the date of every order whose id it divides is taken away."""
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    if undated:
+        o = o.withColumn("o_orderdate", F.when(F.col("o_orderkey") % undated != 0, F.col("o_orderdate")))
     if date_range:
-        lo, hi = date_range
-        if lo:
-            o = o.where(F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
-        if hi:
-            o = o.where(F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))
+        o = o.where(in_range(F.col("o_orderdate"), date_range))
     return o.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
@@ -68,24 +68,41 @@ def order_headers(spark: SparkSession, sf_dir: str, date_range: tuple | None = N
     )
 
 
+def in_range(date: F.Column, date_range: tuple) -> F.Column:
+    """Whether a date lies in [lo, hi), None being open; a null date lies in the range without a beginning."""
+    lo, hi = (d and F.lit(d).cast("timestamp_ntz") for d in date_range)
+    if lo is not None:
+        return (date >= lo) & (date < hi) if hi is not None else date >= lo
+    return date.isNull() | (date < hi) if hi is not None else F.lit(True)
+
+
 STAGED_ITEM_COLUMNS = ["order_id", "product_id", "quantity", "unit_price", "line_total",
                        "discount_percentage", "line_discounted_total", "extraction_date",
                        "loaded_at"]
 
 
+def dated_lines(spark: SparkSession, sf_dir: str, date_range: tuple | None = None, undated: int = 0) -> DataFrame:
+    """Priced lines with the date and stamp of their order. Ranges that cover all dates cover all
+    lines: those without a date, or whose order is unknown, are in the range without a beginning."""
+    lines = priced_lines(spark, sf_dir)
+    columns = ["order_id", "extraction_date", "loaded_at"]
+    if date_range and date_range[0] is not None:
+        return lines.join(order_headers(spark, sf_dir, date_range, undated).select(columns), "order_id")
+    dated = lines.join(order_headers(spark, sf_dir, None, undated).select(columns), "order_id", "left")
+    return dated.where(in_range(F.col("loaded_at"), date_range)) if date_range else dated
+
+
 def staged_order_items(spark: SparkSession, sf_dir: str, date_range: tuple | None = None,
-                       loaded_at: str | None = None) -> DataFrame:
+                       loaded_at: str | None = None, undated: int = 0) -> DataFrame:
     """The ``stg_order_items`` shape built straight from the flat tables.
 
     Equivalent to assembling nested orders and flattening them again (tested),
     without the round trip. ``loaded_at`` overrides the load stamp (one per load).
     """
-    lines = priced_lines(spark, sf_dir)
-    heads = order_headers(spark, sf_dir, date_range).select("order_id", "extraction_date", "loaded_at")
+    rows = dated_lines(spark, sf_dir, date_range, undated)
     if loaded_at:
-        heads = heads.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
-    # without a range of dates, a line whose order is unknown stays, without a date
-    return lines.join(heads, "order_id", "inner" if date_range else "left").select(
+        rows = rows.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
+    return rows.select(
         "order_id", "product_id", "quantity",
         pricing.to_double("unit_price").alias("unit_price"),
         pricing.to_double("line_total").alias("line_total"),
@@ -194,9 +211,14 @@ THREE_LOADS = [
 ]
 
 
-def load_items(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
+# Every order whose id this divides loses its date in the entries on undated orders.
+UNDATED = 7
+
+
+def load_items(spark: SparkSession, sf_dir: str, load: int, undated: int = 0) -> DataFrame:
+    """One of ``THREE_LOADS``; together they are the whole table."""
     lo, hi, stamp = THREE_LOADS[load]
-    return staged_order_items(spark, sf_dir, (lo, hi), stamp)
+    return staged_order_items(spark, sf_dir, (lo, hi), stamp, undated)
 
 
 def revised_items(spark: SparkSession, sf_dir: str, stamp: str) -> DataFrame:
@@ -207,7 +229,7 @@ def revised_items(spark: SparkSession, sf_dir: str, stamp: str) -> DataFrame:
     cat = catalogue(spark, sf_dir).select("product_id", "unit_price")
     rows = li.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
                      F.col("l_quantity").cast("int").alias("quantity"),
-                     F.to_date("l_shipdate").alias("extraction_date")).join(cat, "product_id")
+                     F.to_date("l_shipdate").alias("extraction_date")).join(cat, "product_id", "left")
     total = pricing.line_total(F.col("unit_price"), F.col("quantity"))
     return rows.select(
         "order_id", "product_id", "quantity",
@@ -238,9 +260,7 @@ def loads_with_nulls(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def items_with_tax(spark: SparkSession, sf_dir: str, date_range: tuple, stamp: str) -> DataFrame:
     """A load whose schema changed: ``tax_percentage`` added, ``discount_percentage`` dropped."""
-    base = priced_lines(spark, sf_dir)
-    heads = order_headers(spark, sf_dir, date_range).select("order_id", "extraction_date")
-    return base.join(heads, "order_id").select(
+    return dated_lines(spark, sf_dir, date_range).select(
         "order_id", "product_id", "quantity",
         pricing.to_double("unit_price").alias("unit_price"),
         pricing.to_double("line_total").alias("line_total"),
