@@ -2,7 +2,8 @@ import pytest
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 # names that operators use inside, to show that extra columns don't clash
-EXTRA = ["block", "bucket", "node", "root", "rep", "held_out", "score", "line", "pos", "tid", "n", "length"]
+EXTRA = ["block", "bucket", "node", "root", "rep", "held_out", "score", "line", "pos", "tid", "n", "length",
+         "_hash", "_key", "_id", "_kept", "_gone", "_text_id", "_dropped_", "row", "kept", "text_id", "c0", "a.b"]
 
 
 @pytest.fixture()

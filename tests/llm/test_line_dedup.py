@@ -43,7 +43,7 @@ def test_recurring_templates_go_but_the_first(make_docs, monkeypatch, light):
 
 def test_whole_copies_are_no_evidence(make_docs):
     rows = [(i, "one line of it\nand another one\nthe end of this text") for i in range(40)]
-    assert all(r._dropped == [] for r in line_dedup.dedup(make_docs(rows)).collect())
+    assert all(r.n_dropped == 0 for r in line_dedup.report(make_docs(rows)).collect())
 
 
 def test_report_repeated_rows_long_lines_and_empty_table(make_docs):
@@ -69,6 +69,60 @@ def test_leading_tokens_make_no_template(make_docs):
             lines.append("It was all said here")  # equal lines among the unlike ones
         lines.append(f"Sent by {word()} on day {i}")
         rows.append((i, "\n".join(lines)))
-    for r in line_dedup.dedup(make_docs(rows)).collect():
+    for r in line_dedup.report(make_docs(rows)).collect():
         kept = dict(rows)[r.doc_id].split("\n")
-        assert r._dropped == [k for k, x in enumerate(kept) if r.doc_id and x.startswith(("Sent by", "It was all"))]
+        want = [k for k, x in enumerate(kept) if r.doc_id and x.startswith(("Sent by", "It was all"))]
+        assert r.dropped_lines == ",".join(map(str, want))
+
+
+def footers():
+    """Three templates of one leaf, each in 20 texts, and lines that one of them takes."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    ends = [lambda: f"in category {word()}", lambda: "from mobile client", lambda: f"under licence {word()}"]
+    rows = [(i, f"{word()} {word()} {word()}\nPosted by {word()} {ends[i % 3]()}") for i in range(60)]
+    # a frequent value in a variable field: its lines have the template's constants and more
+    return rows + [(100 + i, f"{word()}\nPosted by alice in category {word()}") for i in range(4)] + [
+        (200 + i, f"{word()} {word()}\nPosted by alice {word()} {word()} {word()}") for i in range(7)]
+
+
+def test_a_leaf_holds_several_templates(make_docs):
+    got = {r.doc_id: r.n_dropped for r in line_dedup.report(make_docs(footers())).collect()}
+    assert sum(got[i] for i in range(60)) == 57
+    assert [i for i in range(60) if not got[i]] == [0, 1, 2]
+    assert all(got[100 + i] == 1 for i in range(4)) and all(got[200 + i] == 0 for i in range(7))
+
+
+def test_independent_lines_stay(make_docs):
+    rng = random.Random(1)
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(3000)]
+    weights = [1 / (k + 1) for k in range(3000)]
+    rows = [(i, "\n".join(" ".join(rng.choices(words, weights, k=rng.randint(5, 8))) for _ in range(20))) for i in range(500)]
+    assert sum(r.n_dropped for r in line_dedup.report(make_docs(rows)).collect()) == 0
+
+
+@pytest.mark.parametrize("light", [0, line_dedup.LIGHT])
+def test_equals_the_sql(spark, make_docs, monkeypatch, tmp_path, light):
+    """The registered SQL, over planted templates of every kind."""
+    import duckdb
+
+    from tidemart.llm.queries import ORACLE
+    monkeypatch.setattr(line_dedup, "LIGHT", light)
+    rng = random.Random(4)
+    rows = footers() + [(1000 + i, t) for i, t in enumerate(texts())]
+    often = ["the", "of", "a", "and"]
+    for i in range(300):
+        line = [rng.choice(["It", "At"]), rng.choice(["was", "7th"]), *(rng.choice(often + [f"x{rng.randint(0, 40)}", "so"])
+                                                                       for _ in range(rng.randint(1, 4)))]
+        rows.append((2000 + i, " ".join(line) + "\nkind regards from " + rng.choice(["us all", "me alone", f"team {i}"]) + "\n"
+                     + f"sum of {rng.choice(often)} and {rng.choice(often)} is {rng.choice(['big', 'small', 'odd'])}"))
+    rows += [(5000, None), (5001, ""), (5002, "\n \t\n")]
+    make_docs(rows).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    res = con.execute(ORACLE["op5_line_dedup"])
+    names = [d[0] for d in res.description]
+    want = sorted(tuple(dict(zip(names, r))[c] for c in sorted(names)) for r in res.fetchall())
+    got = line_dedup.report(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert sorted(tuple(r[c] for c in sorted(names)) for r in got.collect()) == want
+    assert sum(r[sorted(names).index("n_dropped")] for r in want) > 300

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemart.session import apply_job_conf, checkpoint_root, scratch_dir
 
-__all__ = ["apply_job_conf", "block_of", "components", "documents", "keyed", "labels", "lightened", "n_blocks",
-           "per_process", "pin", "text_bytes"]
+__all__ = ["apply_job_conf", "block_of", "carried", "components", "documents", "keyed", "labels", "lightened", "n_blocks",
+           "per_process", "pin", "quoted", "text_bytes", "unpacked"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,28 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def carried(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``keyed`` rows and, as one struct ``row``, all columns of ``docs``, so that no name of theirs can clash.
+
+    The struct's fields are numbered; the text is in it only as whether it is null.
+    """
+    fields = [(F.col(quoted(c)).isNull() if c == text_col else F.col(quoted(c))).alias(f"c{i}")
+              for i, c in enumerate(docs.columns)]
+    return docs.select(F.struct(*fields).alias("row"), F.col(quoted(id_col)).cast("long").alias("doc_id"),
+                       F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text"))
+
+
+def unpacked(columns: list[str], text_col: str, text: Column) -> list[Column]:
+    """The columns that ``carried`` packed, with another text; one that was null stays so while nothing is in it."""
+    was_null = F.col(f"row.c{columns.index(text_col)}")
+    return [(F.when(~(was_null & (text == "")), text) if c == text_col else F.col(f"row.c{i}")).alias(c)
+            for i, c in enumerate(columns)]
+
+
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts of ``keyed`` rows."""
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -2,14 +2,20 @@
 
 A line goes down a tree of fixed depth: by its number of tokens, then by its
 leading tokens, where a token with a digit is a variable field. In a leaf that
-holds lines of enough documents, a token is constant if enough documents, and at
-least half of the leaf's, have it at its place, and a variable field otherwise;
-the constants and fields of a line make its template. The leading tokens are
-constant in any leaf, so a template must be constant for at least half of the
-tokens behind them. A line that has no such template, or no tokens behind, is its
-own template, with fields for digits only. A template that enough documents share
-is recurring. Its first line, by document id and place, stays and all others are
-dropped.
+holds lines of enough documents, a line's pattern keeps the tokens that enough
+documents have at their place and has fields for the others. A leaf holds as many
+templates as there are patterns that prove to be one:
+
+* at least half of the tokens behind the leading ones are constants,
+* and each is in at least half of the leaf's lines, or those that are not are two
+  or more and go together: the pattern has two thirds of all lines that have the
+  rarest of them. Common words that meet by chance don't, whatever their number.
+
+Other lines are given to the template of their leaf with the most constants, all of
+which they have; the smallest digest of those that tie. A line that no template
+takes is its own, with fields for digits only. A template that enough documents
+share is recurring. Its first line, by document id and place, stays and all others
+are dropped.
 
 Texts that are equal throughout count as one document here: whole copies are no
 evidence that a line is boilerplate, so groups of copies stay whole for the
@@ -24,7 +30,9 @@ small, which spares shuffling the texts; beyond that the joins shuffle.
 Defined results: lines are what ``\\n`` separates; tokens what single spaces
 separate, after tabs and carriage returns became spaces and the ends were
 trimmed; lines without tokens are kept. A null text is empty, with one empty
-line. Null ids come last; rows that repeat id and text are treated alike.
+line. Null ids come last; rows that repeat id and text are treated alike. A very
+long text, or line, is one row of a task. An empty table gives no rows. Extra
+columns come back as they were from ``dedup``, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,12 +40,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import keyed, lightened, pin
+from tidemart.llm.common import carried, keyed, lightened, pin, unpacked
 
 MIN_DOCS = 10  # distinct texts that make a leaf, a constant token and a template
 LEADING = 2  # tokens that choose the leaf
 MIN_CONSTANT = 0.5  # share of constant tokens in a template, behind the leading ones or in a whole line
-MIN_SHARE = 0.5  # share of its leaf's lines that have a constant token at its place
+MIN_SHARE = 0.5  # share of its leaf's lines from which a token needs no company to be a constant
+TOGETHER = (2, 3)  # share of the lines with its rarest other constant that a pattern must have
 FIELD = "<*>"
 LIGHT = 1_000_000  # leaves, or places of dropped lines, that a join may broadcast
 VARIABLE = r"\S*[0-9]\S*"
@@ -49,11 +58,15 @@ def masked(c: Column) -> Column:
 
 def lines_of(rows: DataFrame, leading: int) -> DataFrame:
     """(doc_id, text_id, pos, line, leaf) of every line that has a token."""
-    lines = rows.select("doc_id", F.xxhash64("text").alias("text_id"),
-                        F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    clean = F.trim(F.translate("raw", "\t\r\v\f", "    "))
-    tokens = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
-    return (lines.select("doc_id", "text_id", "pos", clean.alias("line")).where("line <> ''")
+    blanks = "\t\r\v\f"
+    some = F.contains("text", F.lit(blanks[0]))
+    for c in blanks[1:]:
+        some = some | F.contains("text", F.lit(c))
+    # few texts have other blanks than spaces, and translating goes character by character
+    plain = F.when(some, F.translate("text", blanks, " " * len(blanks))).otherwise(F.col("text"))
+    lines = rows.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode(F.split(plain, "\n")).alias("pos", "raw"))
+    tokens = F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
+    return (lines.select("doc_id", "text_id", "pos", F.trim("raw").alias("line")).where("line <> ''")
             .withColumn("leaf", F.xxhash64(tokens, masked(F.substring_index("line", " ", leading)))))
 
 
@@ -63,27 +76,47 @@ def full_leaves(lines: DataFrame, min_docs: int) -> DataFrame:
 
 
 def templates(lines: DataFrame, min_docs: int, leading: int, min_constant: float) -> DataFrame:
-    """(leaf, shape, template) of the masked lines whose template has enough constants."""
+    """(leaf, shape, template) of the masked lines that a template takes or that are their own."""
     kinds = (lines.groupBy("leaf", "shape", "text_id").agg(F.first("masked").alias("masked"))
              .groupBy("leaf", "shape").agg(F.first("masked").alias("masked"), F.count("*").alias("texts")))
     # tokens travel with the line's hash, never with the line itself
     tokens = kinds.select("leaf", "shape", "texts", F.posexplode(F.split("masked", " ")).alias("i", "token"))
     total = kinds.groupBy("leaf").agg(F.sum("texts").alias("total"))
-    constant = (tokens.where(F.col("token") != FIELD).groupBy("leaf", "i", "token")
-                .agg(F.sum("texts").alias("n")).where(F.col("n") >= min_docs)
-                .join(total, "leaf").where(F.col("n") >= MIN_SHARE * F.col("total"))
-                .select("leaf", "i", "token", F.lit(1).alias("constant")))
-    known = F.coalesce("constant", F.lit(0))
-    fields = F.xxhash64(F.sort_array(F.collect_list(F.struct(
-        "i", F.when(known == 1, F.col("token")).otherwise(FIELD).alias("token")))))
-    return (tokens.join(constant, ["leaf", "i", "token"], "left")
-            .groupBy("leaf", "shape")
-            .agg(F.avg(F.when(F.col("i") >= leading, known)).alias("share"),
-                 F.avg((F.col("token") != FIELD).cast("int")).alias("words"),
-                 F.first("texts").alias("texts"), fields.alias("fields"))
-            .withColumn("templated", F.coalesce(F.col("share") >= min_constant, F.lit(False)))
-            .where(F.col("templated") | ((F.col("texts") >= min_docs) & (F.col("words") >= min_constant)))
-            .select("leaf", "shape", F.when(F.col("templated"), F.col("fields")).otherwise(F.col("shape")).alias("template")))
+    frequent = (tokens.where(F.col("token") != FIELD).groupBy("leaf", "i", "token")
+                .agg(F.sum("texts").alias("n")).where(F.col("n") >= min_docs).join(total, "leaf")
+                .select("leaf", "i", "token", "n", (F.col("n") < MIN_SHARE * F.col("total")).alias("weak")))
+    known = pin(tokens.join(frequent, ["leaf", "i", "token"], "left"), "tokens")
+    constant = F.col("n").isNotNull()
+    behind = F.col("i") >= leading
+    pattern = F.array_sort(F.collect_list(F.struct("i", F.when(constant, F.col("token")).otherwise(FIELD).alias("token"))))
+    shapes = known.groupBy("leaf", "shape").agg(
+        F.first("texts").alias("texts"), F.avg((F.col("token") != FIELD).cast("int")).alias("words"),
+        F.avg(F.when(behind, constant.cast("int"))).alias("share"),
+        F.count_if(behind & constant).alias("constants"), F.count_if(behind & F.col("weak")).alias("weak"),
+        F.min(F.when(behind & F.col("weak"), F.col("n"))).alias("rarest"),
+        F.min(F.when(behind & constant, F.struct("n", "i", "token"))).alias("anchor"),
+        F.md5(F.array_join(F.transform(pattern, lambda t: t["token"]), " ")).alias("pattern"))
+    together = TOGETHER[1] * F.col("lines") >= TOGETHER[0] * F.col("rarest")
+    judged = pin(shapes.join(shapes.groupBy("leaf", "pattern").agg(F.sum("texts").alias("lines")), ["leaf", "pattern"])
+                 .withColumn("is_template", F.coalesce(F.col("share") >= min_constant, F.lit(False))
+                             & ((F.col("weak") == 0) | ((F.col("weak") > 1) & together))), "shapes")
+    found = (judged.where("is_template").groupBy("leaf", F.col("pattern").alias("template"))
+             .agg(F.first("anchor").alias("anchor"), F.first("constants").alias("constants"), F.min("shape").alias("example")))
+    others = judged.where("not is_template").select("leaf", "shape")
+    own = known.where(behind & constant).select("leaf", "shape", "i", "token")
+    # a line may belong to the templates whose rarest constant it has, and does if it has all of them
+    rare = found.select("leaf", "template", "constants", F.col("anchor.i").alias("i"), F.col("anchor.token").alias("token"))
+    may = (own.join(others, ["leaf", "shape"], "left_semi").join(rare, ["leaf", "i", "token"])
+           .select("leaf", "shape", "template", "constants"))
+    needs = found.select("leaf", "template", F.col("example").alias("shape")).join(own, ["leaf", "shape"]).drop("shape")
+    given = (may.join(needs, ["leaf", "template"]).join(own, ["leaf", "shape", "i", "token"])
+             .groupBy("leaf", "shape", "template", "constants").agg(F.count("*").alias("has")).where("has = constants")
+             .groupBy("leaf", "shape").agg(F.min(F.struct(-F.col("constants"), "template"))["template"].alias("given")))
+    alone = (F.col("texts") >= min_docs) & (F.col("words") >= min_constant)
+    template = F.when(F.col("is_template"), F.col("pattern")).otherwise(
+        F.coalesce("given", F.when(alone, F.col("shape").cast("string"))))
+    return (judged.join(given, ["leaf", "shape"], "left").select("leaf", "shape", template.alias("template"))
+            .where(F.col("template").isNotNull()))
 
 
 def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
@@ -103,32 +136,31 @@ def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
             .select("doc_id", "text_id", "pos").distinct())
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
-          leading: int = LEADING, min_constant: float = MIN_CONSTANT) -> DataFrame:
-    """All rows and columns of ``docs`` with the dropped lines taken out of the text, and ``_dropped``.
-
-    ``_dropped`` is the sorted array of the places of the lines that went.
-    """
-    gone = (dropped(docs, id_col, text_col, min_docs, leading, min_constant)
-            .groupBy("doc_id", "text_id").agg(F.sort_array(F.collect_list("pos")).alias("_dropped"))
-            .select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text_id"), "_dropped"))
-    gone = lightened(pin(gone, "dropped"), F.size("_dropped") + 1, LIGHT)
-    text = F.coalesce(docs[text_col], F.lit(""))
-    all_columns = docs.columns
-    joined = docs.withColumn("_key", docs[id_col].cast("long")).withColumn("_hash", F.xxhash64(text)).join(
-        gone, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text_id")), "left")
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))
-    kept = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    return joined.select(*[kept.alias(c) if c == text_col else F.col(c) for c in all_columns],
-                         F.coalesce("_dropped", F.array().cast("array<int>")).alias("_dropped"))
+def without_lines(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text and any others) with ``left``, the text that is left, and ``places``, what went, sorted."""
+    gone = (gone.groupBy("doc_id", "text_id").agg(F.sort_array(F.collect_list("pos")).alias("gone_places"))
+            .select(F.col("doc_id").alias("gone_id"), F.col("text_id").alias("gone_text"), "gone_places"))
+    gone = lightened(pin(gone, "dropped"), F.size("gone_places") + 1, LIGHT)
+    joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id"))
+                       & (F.xxhash64("text") == F.col("gone_text")), "left")
+    lines = F.split("text", "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone_places"))
+    left = F.when(F.col("gone_places").isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    return joined.select(*rows.columns, left.alias("left"),
+                         F.coalesce("gone_places", F.array().cast("array<int>")).alias("places"))
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+    """All rows and columns of ``docs`` with the dropped lines taken out of the text."""
+    out = without_lines(carried(docs, id_col, text_col), dropped(docs, id_col, text_col, **parameters))
+    return out.select(*unpacked(docs.columns, text_col, F.col("left")))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
     """Per document: n_lines, n_dropped, the dropped lines' places as text, and the digest of what is left."""
-    rows = keyed(docs, id_col, text_col)
-    out = dedup(rows.withColumn("n_lines", F.size(F.split("text", "\n")).cast("long")), **parameters)
-    return out.select("doc_id", "n_lines", F.size("_dropped").cast("long").alias("n_dropped"),
-                      F.array_join(F.col("_dropped").cast("array<string>"), ",").alias("dropped_lines"),
-                      F.sha2(F.col("text"), 256).alias("kept_sha256"))
+    out = without_lines(keyed(docs, id_col, text_col), dropped(docs, id_col, text_col, **parameters))
+    return out.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_lines"),
+                      F.size("places").cast("long").alias("n_dropped"),
+                      F.array_join(F.col("places").cast("array<string>"), ",").alias("dropped_lines"),
+                      F.sha2(F.col("left"), 256).alias("kept_sha256"))

@@ -127,18 +127,48 @@ ORACLE = {
             SELECT n, lead, masked, texts, generate_subscripts(string_split(masked, ' '), 1) AS i,
                    unnest(string_split(masked, ' ')) AS token
             FROM kinds),
-        fixed AS (
-            SELECT n, lead, i, token FROM tokens WHERE token <> '<*>'
-            GROUP BY ALL HAVING sum(texts) >= 10),
+        total AS (SELECT n, lead, sum(texts) AS total FROM kinds GROUP BY n, lead),
+        frequent AS (
+            SELECT t.n, t.lead, i, token, sum(texts) AS times, sum(texts) < 0.5 * any_value(total) AS weak
+            FROM tokens t JOIN total USING (n, lead) WHERE token <> '<*>'
+            GROUP BY t.n, t.lead, i, token HAVING sum(texts) >= 10),
+        known AS (
+            SELECT t.*, f.times, coalesce(f.weak, false) AS weak
+            FROM tokens t LEFT JOIN frequent f ON t.n = f.n AND t.lead = f.lead AND t.i = f.i AND t.token = f.token),
         shapes AS (
-            SELECT a.n, a.lead, a.masked,
-                   string_agg(CASE WHEN f.token IS NULL THEN '<*>' ELSE a.token END, ' ' ORDER BY a.i) AS template
-            FROM tokens a LEFT JOIN fixed f ON a.n = f.n AND a.lead = f.lead AND a.i = f.i AND a.token = f.token
-            GROUP BY a.n, a.lead, a.masked
-            HAVING avg(CASE WHEN f.token IS NULL THEN 0 ELSE 1 END) >= 0.5),
+            SELECT n, lead, masked, any_value(texts) AS texts,
+                   avg(CASE WHEN token = '<*>' THEN 0 ELSE 1 END) AS words,
+                   avg(CASE WHEN times IS NULL THEN 0 ELSE 1 END) FILTER (i > 2) AS share,
+                   count(times) FILTER (i > 2) AS constants, count(*) FILTER (i > 2 AND weak) AS n_weak,
+                   min(times) FILTER (i > 2 AND weak) AS rarest,
+                   string_agg(CASE WHEN times IS NULL THEN '<*>' ELSE token END, ' ' ORDER BY i) AS pattern
+            FROM known GROUP BY n, lead, masked),
+        judged AS (
+            SELECT *, coalesce(share >= 0.5, false) AND (
+                       n_weak = 0 OR (n_weak > 1 AND 3 * sum(texts) OVER (PARTITION BY n, lead, pattern) >= 2 * rarest)) AS is_template
+            FROM shapes),
+        needs AS (
+            SELECT DISTINCT j.n, j.lead, j.pattern, j.constants, k.i, k.token
+            FROM judged j JOIN known k ON j.n = k.n AND j.lead = k.lead AND j.masked = k.masked
+            WHERE j.is_template AND k.i > 2 AND k.times IS NOT NULL),
+        given AS (
+            SELECT n, lead, masked, arg_min(pattern, (-constants, md5(pattern))) AS pattern
+            FROM (
+                SELECT j.n, j.lead, j.masked, d.pattern, d.constants
+                FROM judged j JOIN known k ON j.n = k.n AND j.lead = k.lead AND j.masked = k.masked
+                JOIN needs d ON k.n = d.n AND k.lead = d.lead AND k.i = d.i AND k.token = d.token
+                WHERE NOT j.is_template
+                GROUP BY j.n, j.lead, j.masked, d.pattern, d.constants HAVING count(*) = d.constants)
+            GROUP BY n, lead, masked),
+        taken AS (
+            SELECT j.n, j.lead, j.masked,
+                   CASE WHEN is_template THEN 'of ' || j.pattern WHEN g.pattern IS NOT NULL THEN 'of ' || g.pattern
+                        WHEN texts >= 10 AND words >= 0.5 THEN 'is ' || j.masked END AS template
+            FROM judged j LEFT JOIN given g ON j.n = g.n AND j.lead = g.lead AND j.masked = g.masked),
         found AS (
             SELECT s.doc_id, s.text_id, s.pos, s.n, s.lead, p.template
-            FROM full_lines s JOIN shapes p ON s.n = p.n AND s.lead = p.lead AND s.masked = p.masked),
+            FROM full_lines s JOIN taken p ON s.n = p.n AND s.lead = p.lead AND s.masked = p.masked
+            WHERE p.template IS NOT NULL),
         recurring AS (
             SELECT n, lead, template, min((doc_id, pos)) AS first
             FROM found GROUP BY n, lead, template HAVING count(DISTINCT text_id) >= 10),
