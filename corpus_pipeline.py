@@ -5,14 +5,16 @@ columns of their input; the last returns the packed pieces.
 
 Defined results: a null text is empty. Rows with a null id are kept by every
 stage, as no decision can name them. Rows that share an id share the decisions
-taken for it. Extra columns pass through whatever they are called, as long as
-the names differ from each other. An empty table gives an empty result.
+taken for it. Texts that tie, as copies do, are told apart by the smallest id. A
+very long text is worked on whole, by one task of a stage. Extra columns pass
+through whatever they are called, as long as the names differ from each other. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import jaccard_join, line_dedup, packing, suffix_dedup, toxicity
@@ -21,19 +23,18 @@ from tidemart.llm.common import apply_job_conf, documents, labels, lightened, pi
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def with_text(docs: DataFrame, text: Column, source: DataFrame) -> DataFrame:
-    """The columns of ``docs`` out of ``source``; the text, and its length where there is one, are new."""
-    new = {"text": text}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
-    return source.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+def with_lengths(docs: DataFrame) -> DataFrame:
+    """``docs`` with the length column, where there is one, as of the text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is not among ``ids`` (one column, whatever its name); null ids stay."""
-    ids = pin(ids.select(F.col(ids.columns[0]).alias("_gone")).distinct(), "gone")
+    ids = pin(ids.select(F.col(ids.columns[0]).alias("gone")).distinct(), "gone")
     ids = lightened(ids, F.lit(1), 1_000_000)
-    return docs.join(ids, docs["doc_id"] == ids["_gone"], "left_anti")
+    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return with_text(docs, F.col("text"), line_dedup.dedup(docs))
+    return with_lengths(line_dedup.dedup(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,13 +52,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Only texts that change are sent back; a character that a cut splits goes with it."""
-    cut = (suffix_dedup.dedup(docs, with_text=True).where("n_removed > 0")
-           .select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text_id"), F.col("kept").alias("_kept")).distinct())
-    text = F.coalesce(docs["text"], F.lit(""))
-    joined = docs.withColumn("_hash", F.xxhash64(text)).join(
-        cut, docs["doc_id"].cast("long").eqNullSafe(cut["_id"]) & (F.col("_hash") == cut["_text_id"]), "left")
-    return with_text(docs, F.coalesce(F.col("_kept"), F.col("text")), joined)
+    return with_lengths(suffix_dedup.rewrite(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
