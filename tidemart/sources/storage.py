@@ -1,37 +1,25 @@
-"""Mart tables as partitioned Parquet with a small state log (I1-I4 storage).
+"""Mart tables: partitioned Parquet whose partitions are replaced by staged ones (I1-I4 storage).
 
-No table format (Delta/Iceberg) is on the classpath and built-in tables reject
-MERGE, so a mart is:
+  <base>/data/<partition>=<value>/part-*.parquet   the rows
+  <base>/table.json                                mark and columns
+  <base>/_staged/                                  partitions about to take their places
 
-  <base>/v<N>/<partition>=<value>/part-*.parquet   data, one folder per version
-  <base>/_runs/<id>/part-*.parquet                 new content of the partitions being replaced
-  <base>/_state/seq=<n>/part-*.parquet             one row per commit:
-      (commit_seq, version, location, schema_json, mark, committed_at, pending)
-
-Only the newest ``seq=`` folder is read (found by a metadata listing), so the
-state stays one small read however many commits a table has seen.
-
-Replacing partitions takes three steps: their whole new content is written to a
-run folder; a state row names that folder as pending, which is the commit; then
-the partitions are overwritten from it and a state row clears it. A crash before
-the commit changes nothing, and after it readers take the affected partitions
-from the run folder until any later writer has finished the overwrite.
+A replacement is one Spark write, of the whole new content of the touched partitions into
+``_staged``, and then one rename per partition. ``_staged/plan.json``, written when the
+Spark job has committed, is the commit: a crash before it changes nothing, and after it the
+next run of any writer finishes the renames before it does anything else. A load that is
+run again merges the same keys into the same partitions, so rerunning is always safe.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-STATE_SCHEMA = ("commit_seq BIGINT, version INT, location STRING, schema_json STRING, "
-                "mark TIMESTAMP_NTZ, committed_at TIMESTAMP_NTZ, pending STRING")
 MARK_FLOOR = _dt.datetime(1900, 1, 1)  # the reference's default mark: 1900-01-01
-
-
 GRAINS = ("day", "month", "year")
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for a null partition value
 
@@ -42,228 +30,143 @@ def in_values(c: F.Column, values: list) -> F.Column:
     return (known | c.isNull()) if None in values else known
 
 
+class Folder:
+    """A folder of any file system that Spark reaches."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm, self.path = spark.sparkContext._jvm, path.rstrip("/")
+        self.fs = self.at("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def at(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def exists(self, name: str) -> bool:
+        return self.fs.exists(self.at(name))
+
+    def folders(self, name: str) -> list[str]:
+        found = self.fs.listStatus(self.at(name)) if self.exists(name) else []
+        return [f.getPath().getName() for f in found if f.isDirectory() and not f.getPath().getName().startswith(("_", "."))]
+
+    def move(self, name: str, to: str) -> None:
+        """Take the place of ``to``, if it is there."""
+        self.delete(to)
+        self.fs.mkdirs(self.at(to).getParent())
+        if not self.fs.rename(self.at(name), self.at(to)):
+            raise OSError(f"cannot move {self.path}/{name}")
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self.at(name), True)
+
+    def read_json(self, name: str) -> dict | None:
+        if not self.exists(name):
+            return None
+        stream = self.fs.open(self.at(name))
+        return json.loads(bytes(stream.readAllBytes()))
+
+    def write_json(self, name: str, value: dict) -> None:
+        """Whole or not at all: written beside and renamed."""
+        out = self.fs.create(self.at(f"{name}.new"), True)
+        out.write(bytearray(json.dumps(value).encode()))
+        out.close()
+        self.move(f"{name}.new", name)
+
+
+def publish_folder(df: DataFrame, path: str) -> DataFrame:
+    """Write a whole (small) table beside the one that readers have, then take its place by a rename."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    df.write.mode("overwrite").parquet(f"{parent}/_{name}_staged")
+    Folder(df.sparkSession, parent).move(f"_{name}_staged", name)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class MartTable:
-    """A partitioned Parquet mart keyed by a date column.
+    """A mart partitioned by a date column, or by the month or year of it.
 
-    ``grain='day'`` partitions on the date itself: the layout for large data,
-    where a daily load rewrites only the days it touches. ``'month'`` and
-    ``'year'`` partition on the month / year of the date (a derived column,
-    hidden on read): for thin data, where one folder per day would mostly hold
-    tiny files (the daily summary has one row per day).
+    ``grain='day'`` is the layout for large data, where a daily load rewrites only the days
+    it touches. 'month' and 'year' are for thin data, where one folder per day would mostly
+    hold tiny files; their partition column is derived and hidden on read.
     """
 
     def __init__(self, spark: SparkSession, base: str, by: str = "date_key", grain: str = "day",
                  sort: tuple[str, ...] = ()):
         if grain not in GRAINS:
             raise ValueError(f"grain must be one of {GRAINS}")
-        self.spark = spark
-        self.base = base.rstrip("/")
-        self.by = by
-        self.grain = grain
+        self.spark, self.base, self.by, self.grain = spark, base.rstrip("/"), by, grain
         self.sort = sort  # columns that the files of a partition are sorted by
-        self.partition_col = by if grain == "day" else f"{by}_{grain}"
-        self._state_dir = f"{self.base}/_state"
-        self._state_cache = None
+        self.folder = Folder(spark, self.base)
+        info = self.info()
+        if info:  # a table that exists keeps its own grain
+            self.grain = info["grain"]
+        self.partition_col = by if self.grain == "day" else f"{by}_{self.grain}"
 
-    def partition_value(self, c: F.Column) -> F.Column:
-        """The partition value of a date column."""
-        return c if self.grain == "day" else F.trunc(c, self.grain)
-
-    def partition_value_py(self, d):
-        """The partition value of a Python date."""
-        if self.grain == "day" or d is None:
-            return d
-        return d.replace(day=1) if self.grain == "month" else d.replace(month=1, day=1)
-
-    def with_partition(self, df: DataFrame) -> DataFrame:
-        if self.grain == "day":
-            return df
-        return df.withColumn(self.partition_col, self.partition_value(F.col(self.by)))
-
-    # ---------------------------------------------------------------- state
-    def state(self) -> dict | None:
-        """The latest commit row (one row reaches the driver), or None before the first.
-
-        Read once per object and refreshed by our own commits; build a new
-        object to see another writer's commits.
-        """
-        if self._state_cache is None:
-            latest = self._latest_commit_dir()
-            if latest is None:
-                return None
-            rows = self.spark.read.schema(STATE_SCHEMA).parquet(latest).limit(1).collect()
-            self._state_cache = rows[0].asDict() if rows else None
-        return self._state_cache
-
-    def _latest_commit_dir(self) -> str | None:
-        p, fs = self._hadoop_path(self._state_dir)
-        if not fs.exists(p):
-            return None
-        names = [st.getPath().getName() for st in fs.listStatus(p)
-                 if st.isDirectory() and st.getPath().getName().startswith("seq=")]
-        # A commit folder holds its row once the write job committed (an
-        # interrupted write leaves only ``_temporary``); newest complete one wins.
-        for n in sorted(names, reverse=True):
-            d, _ = self._hadoop_path(f"{self._state_dir}/{n}")
-            if any(f.getPath().getName().endswith(".parquet") and not
-                   f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(d)):
-                return f"{self._state_dir}/{n}"
-        return None
+    def info(self) -> dict | None:
+        return self.folder.read_json("table.json")
 
     def exists(self) -> bool:
-        return self.state() is not None
+        return self.info() is not None
 
     def mark(self) -> _dt.datetime:
-        st = self.state()
-        return st["mark"] if st and st["mark"] is not None else MARK_FLOOR
+        mark = (self.info() or {}).get("mark")
+        return _dt.datetime.fromisoformat(mark) if mark else MARK_FLOOR
 
     def schema(self) -> StructType:
-        return StructType.fromJson(json.loads(self.state()["schema_json"]))
+        """The table's columns as readers see them."""
+        return StructType.fromJson(self.info()["schema"])
 
     def read(self) -> DataFrame:
-        if self.state() is None:
+        if not self.exists():
             raise FileNotFoundError(f"table {self.base} has no data yet")
-        return self._visible(self._rows(), None)
+        return self._rows().select(*self.schema().fieldNames())
 
     def read_partitions(self, values: list) -> DataFrame:
-        """Rows of the given partitions only (partition pruning at the scan); None is the null date's."""
-        return self._visible(self._rows().where(in_values(F.col(self.partition_col), values)), values)
+        """Rows of the given partitions only (pruned at the scan); None is the null date's."""
+        return self._rows().where(in_values(F.col(self.partition_col), values)).select(*self.schema().fieldNames())
 
     def _rows(self) -> DataFrame:
-        return self.spark.read.schema(self.schema()).parquet(self.state()["location"])
-
-    def _visible(self, df: DataFrame, values: list | None) -> DataFrame:
-        """``df`` as of the latest commit: partitions that wait to be overwritten come from the run folder."""
-        waiting = self.state()["pending"]
-        if waiting:
-            path, parts = self._pending()
-            new = self.with_partition(self.spark.read.schema(self.data_schema()).parquet(path))
-            new = new if values is None else new.where(in_values(F.col(self.partition_col), values))
-            # the partition column may be null, so the test is made two-valued
-            old = F.coalesce(in_values(F.col(self.partition_col), parts), F.lit(False))
-            df = df.where(~old).unionByName(new.select(*df.columns))
-        return df if self.grain == "day" else df.drop(self.partition_col)
-
-    def _pending(self) -> tuple[str, list]:
-        p = json.loads(self.state()["pending"])
-        return p["path"], [None if v is None else _dt.date.fromisoformat(v) for v in p["parts"]]
-
-    def _commit(self, version: int, location: str, schema: StructType, mark, pending: str | None = None) -> None:
-        st = self.state()
-        seq = (st["commit_seq"] + 1) if st else 1
-        row = [(seq, version, location, json.dumps(schema.jsonValue()), mark,
-                _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), pending)]
-        (self.spark.createDataFrame(row, STATE_SCHEMA).coalesce(1)
-             .write.mode("errorifexists").parquet(f"{self._state_dir}/seq={seq:012d}"))
-        keys = ["commit_seq", "version", "location", "schema_json", "mark", "committed_at", "pending"]
-        self._state_cache = dict(zip(keys, row[0]))
-
-    # ---------------------------------------------------------------- writes
-    def _writer(self, df: DataFrame):
-        # Rebalance by the partition column: each task writes few files, and AQE
-        # splits a partition value holding a large share of the rows over many
-        # tasks instead of one (and merges small ones).
-        df = self.with_partition(df).hint("rebalance", self.partition_col)
+        fields = self.schema() if self.grain == "day" else StructType([*self.schema().fields]).add(self.partition_col, "date")
+        return self.spark.read.schema(fields).parquet(f"{self.base}/data")
+
+    def partition_value_py(self, d):
+        """The partition value of a Python date."""
+        if self.grain == "day" or d is None:
+            return d
+        return d.replace(day=1) if self.grain == "month" else d.replace(month=1, day=1)
+
+    def _folder_of(self, value) -> str:
+        return f"{self.partition_col}={NULL_PARTITION if value is None else value}"
+
+    def stage(self, df: DataFrame) -> None:
+        """Write ``df`` by partitions; AQE spreads a partition with many rows over many tasks and merges small ones."""
+        if self.grain != "day":
+            df = df.withColumn(self.partition_col, F.trunc(F.col(self.by), self.grain))
+        df = df.hint("rebalance", self.partition_col)
         if self.sort:
             df = df.sortWithinPartitions(self.partition_col, *self.sort)
-        return (df.write
-                  .option("partitionOverwriteMode", "dynamic")
-                  .partitionBy(self.partition_col))
-
-    def overwrite_all(self, df: DataFrame, mark) -> None:
-        """First build, full refresh or schema change: write a new version folder."""
-        st = self.state()
-        version = (st["version"] + 1) if st else 1
-        location = f"{self.base}/v{version}"
-        self._writer(df).mode("overwrite").option("partitionOverwriteMode", "static").parquet(location)
-        self._commit(version, location, self._table_schema(self.with_partition(df)), mark)
-
-    def replace_partitions(self, df: DataFrame, parts: list, mark) -> list:
-        """``df`` becomes the whole content of the partitions ``parts``; returns those left without rows."""
-        st = self.state()
-        names = self.data_schema().fieldNames()
-        if set(df.columns) != set(names):
-            raise ValueError("schema differs from the table; sync it first")
-        run = f"{self.base}/_runs/{uuid.uuid4().hex}"
-        df.select(*names).write.parquet(run)
-        pending = json.dumps({"path": run, "parts": [None if v is None else v.isoformat() for v in parts]})
-        self._commit(st["version"], st["location"], self.schema(), mark, pending)
-        return self.recover()
-
-    def recover(self) -> list:
-        """Finish a replacement that was committed; returns the partitions it left empty.
-
-        Each replacement only ever writes what the run folder holds, so doing it again is harmless.
-        """
-        st = self.state()
-        if st is None or not st["pending"]:
-            return []
-        run, parts = self._pending()
-        new = self.spark.read.schema(self.data_schema()).parquet(run)
-        # one value per replaced partition
-        present = {r[0] for r in self.with_partition(new).select(self.partition_col).distinct().collect()}
-        self._writer(new).mode("overwrite").parquet(st["location"])
-        empty = [v for v in parts if v not in present]
-        for value in empty:
-            self._delete(self.partition_path(value))
-        self._commit(st["version"], st["location"], self.schema(), st["mark"])
-        self._delete(run)
-        return empty
-
-    def sync_schema(self, wanted: StructType, aligned) -> None:
-        """I4: take over the columns of ``wanted``.
-
-        Files keep what they have: readers see an added column as null and don't
-        see a dropped one, so only the state changes. The rows are rewritten, by
-        ``aligned(rows)``, where a type changes or a dropped column comes back.
-        """
-        st, now = self.state(), {f.name: f.dataType for f in self.data_schema().fields}
-        ever = {f["name"] for r in self.spark.read.schema(STATE_SCHEMA).parquet(self._state_dir)
-                .where(F.col("version") == st["version"]).select("schema_json").distinct().collect()
-                for f in json.loads(r[0])["fields"]}  # one small row per schema of this version
-        changed = any(now.get(f.name, f.dataType) != f.dataType for f in wanted.fields)
-        if changed or any(f.name in ever and f.name not in now for f in wanted.fields):
-            self.overwrite_all(aligned(self.read()), st["mark"])
-        else:
-            part = [] if self.grain == "day" else [self.schema()[self.partition_col]]
-            fields = [f for f in wanted.fields if self.grain != "day" or f.name != self.by]
-            tail = part or [wanted[self.by]]
-            self._commit(st["version"], st["location"], StructType(fields + tail), st["mark"])
-
-    def vacuum(self) -> list:
-        """Remove data folders of versions older than the live one (after a commit)."""
-        st = self.state()
-        if st is None:
-            return []
-        p, fs = self._hadoop_path(self.base)
-        gone = []
-        for f in fs.listStatus(p):
-            name = f.getPath().getName()
-            if f.isDirectory() and name.startswith("v") and f"{self.base}/{name}" != st["location"]:
-                fs.delete(f.getPath(), True)
-                gone.append(name)
-        return gone
-
-    def partition_path(self, value) -> str:
-        return f"{self.state()['location']}/{self.partition_col}={NULL_PARTITION if value is None else value}"
-
-    # ---------------------------------------------------------------- helpers
-    def data_schema(self) -> StructType:
-        """The table's columns as readers see them (no derived partition column)."""
-        return StructType([f for f in self.schema().fields
-                           if self.grain == "day" or f.name != self.partition_col])
-
-    def _table_schema(self, df: DataFrame) -> StructType:
-        fields = [f for f in df.schema.fields if f.name != self.partition_col]
-        part = [f for f in df.schema.fields if f.name == self.partition_col]
-        return StructType(fields + part)
-
-    def _hadoop_path(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _delete(self, path: str) -> None:
-        p, fs = self._hadoop_path(path)
-        if fs.exists(p):
-            fs.delete(p, True)
+        df.write.mode("overwrite").partitionBy(self.partition_col).parquet(f"{self.base}/_staged")
+
+    def replace(self, df: DataFrame, parts: list | None, mark) -> list:
+        """``df`` becomes the whole content of the partitions ``parts``, or of the table; its columns
+        become the table's. Returns those of ``parts`` that are left without rows."""
+        self.stage(df)
+        filled = self.folder.folders("_staged")
+        names = self.folder.folders("data") if parts is None else [self._folder_of(v) for v in parts]
+        self.folder.write_json("_staged/plan.json", {
+            "filled": filled, "emptied": sorted(set(names) - set(filled)),
+            "table": {"mark": mark.isoformat() if mark else None, "schema": df.schema.jsonValue(), "grain": self.grain}})
+        self.recover()
+        return [v for v in parts or [] if self._folder_of(v) not in filled]
+
+    def recover(self) -> None:
+        """Finish a replacement that was committed. What has taken its place is no longer staged, so
+        doing it again goes on where it stopped."""
+        plan = self.folder.read_json("_staged/plan.json")
+        if plan is None:
+            return
+        self.folder.fs.mkdirs(self.folder.at("data"))
+        for name in plan["filled"]:
+            if self.folder.exists(f"_staged/{name}"):
+                self.folder.move(f"_staged/{name}", f"data/{name}")
+        for name in plan["emptied"]:
+            self.folder.delete(f"data/{name}")
+        self.folder.write_json("table.json", plan["table"])
+        self.folder.delete("_staged")
