@@ -11,9 +11,10 @@ templates as there are patterns that prove to be one:
   or more and go together: the pattern has two thirds of all lines that have the
   rarest of them. Common words that meet by chance don't, whatever their number.
 
-Other lines are given to the template of their leaf with the most constants, all of
-which they have; the smallest digest of those that tie. A line that no template
-takes is its own, with fields for digits only. A template that enough documents
+Another line goes with the template that its pattern becomes when one constant is
+taken for a field, such as a variable that often has the same value; with the
+smallest digest of those. A line that no template takes is its own, with fields for
+digits only. A template that enough documents
 share is recurring. Its first line, by document id and place, stays and all others
 are dropped.
 
@@ -88,30 +89,24 @@ def templates(lines: DataFrame, min_docs: int, leading: int, min_constant: float
     known = pin(tokens.join(frequent, ["leaf", "i", "token"], "left"), "tokens")
     constant = F.col("n").isNotNull()
     behind = F.col("i") >= leading
-    pattern = F.array_sort(F.collect_list(F.struct("i", F.when(constant, F.col("token")).otherwise(FIELD).alias("token"))))
+    kept = F.when(constant, F.col("token")).otherwise(FIELD)
+    pattern = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", kept.alias("token")))), lambda t: t["token"]), " ")
+    # of the constants alone, so that taking one away needs no second look at the others
+    digest = F.bit_xor(F.when(constant, F.xxhash64("i", "token")))
     shapes = known.groupBy("leaf", "shape").agg(
         F.first("texts").alias("texts"), F.avg((F.col("token") != FIELD).cast("int")).alias("words"),
         F.avg(F.when(behind, constant.cast("int"))).alias("share"),
-        F.count_if(behind & constant).alias("constants"), F.count_if(behind & F.col("weak")).alias("weak"),
-        F.min(F.when(behind & F.col("weak"), F.col("n"))).alias("rarest"),
-        F.min(F.when(behind & constant, F.struct("n", "i", "token"))).alias("anchor"),
-        F.md5(F.array_join(F.transform(pattern, lambda t: t["token"]), " ")).alias("pattern"))
+        F.count_if(behind & F.col("weak")).alias("weak"), F.min(F.when(behind & F.col("weak"), F.col("n"))).alias("rarest"),
+        F.coalesce(digest, F.lit(0)).alias("digest"), F.md5(pattern).alias("pattern"))
     together = TOGETHER[1] * F.col("lines") >= TOGETHER[0] * F.col("rarest")
     judged = pin(shapes.join(shapes.groupBy("leaf", "pattern").agg(F.sum("texts").alias("lines")), ["leaf", "pattern"])
                  .withColumn("is_template", F.coalesce(F.col("share") >= min_constant, F.lit(False))
                              & ((F.col("weak") == 0) | ((F.col("weak") > 1) & together))), "shapes")
-    found = (judged.where("is_template").groupBy("leaf", F.col("pattern").alias("template"))
-             .agg(F.first("anchor").alias("anchor"), F.first("constants").alias("constants"), F.min("shape").alias("example")))
-    others = judged.where("not is_template").select("leaf", "shape")
-    own = known.where(behind & constant).select("leaf", "shape", "i", "token")
-    # a line may belong to the templates whose rarest constant it has, and does if it has all of them
-    rare = found.select("leaf", "template", "constants", F.col("anchor.i").alias("i"), F.col("anchor.token").alias("token"))
-    may = (own.join(others, ["leaf", "shape"], "left_semi").join(rare, ["leaf", "i", "token"])
-           .select("leaf", "shape", "template", "constants"))
-    needs = found.select("leaf", "template", F.col("example").alias("shape")).join(own, ["leaf", "shape"]).drop("shape")
-    given = (may.join(needs, ["leaf", "template"]).join(own, ["leaf", "shape", "i", "token"])
-             .groupBy("leaf", "shape", "template", "constants").agg(F.count("*").alias("has")).where("has = constants")
-             .groupBy("leaf", "shape").agg(F.min(F.struct(-F.col("constants"), "template"))["template"].alias("given")))
+    found = (judged.where("is_template").groupBy("leaf", "digest").agg(F.min("pattern").alias("given")))
+    others = judged.where("not is_template").select("leaf", "shape", "digest")
+    less = (known.where(behind & F.col("weak")).join(others, ["leaf", "shape"])
+            .select("leaf", "shape", F.col("digest").bitwiseXOR(F.xxhash64("i", "token")).alias("digest")))
+    given = less.join(found, ["leaf", "digest"]).groupBy("leaf", "shape").agg(F.min("given").alias("given"))
     alone = (F.col("texts") >= min_docs) & (F.col("words") >= min_constant)
     template = F.when(F.col("is_template"), F.col("pattern")).otherwise(
         F.coalesce("given", F.when(alone, F.col("shape").cast("string"))))

@@ -139,7 +139,7 @@ ORACLE = {
             SELECT n, lead, masked, any_value(texts) AS texts,
                    avg(CASE WHEN token = '<*>' THEN 0 ELSE 1 END) AS words,
                    avg(CASE WHEN times IS NULL THEN 0 ELSE 1 END) FILTER (i > 2) AS share,
-                   count(times) FILTER (i > 2) AS constants, count(*) FILTER (i > 2 AND weak) AS n_weak,
+                   count(*) FILTER (i > 2 AND weak) AS n_weak,
                    min(times) FILTER (i > 2 AND weak) AS rarest,
                    string_agg(CASE WHEN times IS NULL THEN '<*>' ELSE token END, ' ' ORDER BY i) AS pattern
             FROM known GROUP BY n, lead, masked),
@@ -147,19 +147,18 @@ ORACLE = {
             SELECT *, coalesce(share >= 0.5, false) AND (
                        n_weak = 0 OR (n_weak > 1 AND 3 * sum(texts) OVER (PARTITION BY n, lead, pattern) >= 2 * rarest)) AS is_template
             FROM shapes),
-        needs AS (
-            SELECT DISTINCT j.n, j.lead, j.pattern, j.constants, k.i, k.token
-            FROM judged j JOIN known k ON j.n = k.n AND j.lead = k.lead AND j.masked = k.masked
-            WHERE j.is_template AND k.i > 2 AND k.times IS NOT NULL),
+        less AS (
+            SELECT j.n, j.lead, j.masked, gone.i,
+                   string_agg(CASE WHEN k.times IS NULL OR k.i = gone.i THEN '<*>' ELSE k.token END, ' ' ORDER BY k.i) AS pattern
+            FROM judged j JOIN known gone ON j.n = gone.n AND j.lead = gone.lead AND j.masked = gone.masked
+            JOIN known k ON j.n = k.n AND j.lead = k.lead AND j.masked = k.masked
+            WHERE NOT j.is_template AND gone.i > 2 AND gone.weak
+            GROUP BY j.n, j.lead, j.masked, gone.i),
         given AS (
-            SELECT n, lead, masked, arg_min(pattern, (-constants, md5(pattern))) AS pattern
-            FROM (
-                SELECT j.n, j.lead, j.masked, d.pattern, d.constants
-                FROM judged j JOIN known k ON j.n = k.n AND j.lead = k.lead AND j.masked = k.masked
-                JOIN needs d ON k.n = d.n AND k.lead = d.lead AND k.i = d.i AND k.token = d.token
-                WHERE NOT j.is_template
-                GROUP BY j.n, j.lead, j.masked, d.pattern, d.constants HAVING count(*) = d.constants)
-            GROUP BY n, lead, masked),
+            SELECT l.n, l.lead, l.masked, arg_min(l.pattern, md5(l.pattern)) AS pattern
+            FROM less l SEMI JOIN (SELECT * FROM judged WHERE is_template) t
+                 ON l.n = t.n AND l.lead = t.lead AND l.pattern = t.pattern
+            GROUP BY l.n, l.lead, l.masked),
         taken AS (
             SELECT j.n, j.lead, j.masked,
                    CASE WHEN is_template THEN 'of ' || j.pattern WHEN g.pattern IS NOT NULL THEN 'of ' || g.pattern
