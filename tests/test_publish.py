@@ -61,6 +61,50 @@ def test_client_error_raises_and_retries_give_up(spark):
         publish.deliver(b, scripted([500] * 5), sleep=lambda s: None)
 
 
+def journal(folder, fail_at=None, die_at=None):
+    """A transport that notes every payload it gets; one batch is refused, or kills its task."""
+    import os
+    import uuid
+
+    def call(method, payload):
+        first = json.loads(payload)["records"][0]["fields"]["date_key"]
+        with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+            f.write(first)
+        if first == die_at:
+            raise RuntimeError("the task dies")
+        return (400, "{}") if first == fail_at else (200, json.dumps({"createdRecords": [{}], "updatedRecords": []}))
+    return call
+
+
+def sent(folder):
+    import os
+    return sorted(open(os.path.join(folder, n)).read() for n in os.listdir(folder))
+
+
+def test_a_failed_run_goes_on_where_it_stopped(spark, workdir, tmp_path):
+    """Batches confirmed before a task died, or a batch was refused, are not sent again."""
+    b = publish.payload_batches(summary(spark, 45)).persist()
+    firsts = [f"2026-01-{d:02d}" for d in (1, 11, 21, 31)] + ["2026-02-10"]
+    with pytest.raises(Exception, match="the task dies"):
+        publish.deliver(b, journal(tmp_path, die_at=firsts[2]), senders=1, run=f"{workdir}/run")
+    assert sent(tmp_path) == firsts[:3]
+    with pytest.raises(publish.DeliveryError):
+        publish.deliver(b, journal(tmp_path, fail_at=firsts[3]), senders=1, run=f"{workdir}/run")
+    assert sent(tmp_path) == sorted(firsts[:4] + firsts[2:3])
+    res = publish.deliver(b, journal(tmp_path), senders=1, run=f"{workdir}/run").collect()
+    assert sorted(r.batch_id for r in res) == [0, 1, 2, 3, 4] and all(r.status == 200 and r.created == 1 for r in res)
+    assert sent(tmp_path) == sorted(firsts + firsts[2:4])
+    publish.deliver(b, journal(tmp_path), run=f"{workdir}/run")  # all confirmed: nothing more
+    assert len(sent(tmp_path)) == 7
+
+
+def test_a_sender_stops_at_its_first_failure(spark, tmp_path):
+    b = publish.payload_batches(summary(spark, 35))
+    res = publish.deliver(b, journal(tmp_path, fail_at="2026-01-11"), senders=1, raise_on_error=False).collect()
+    assert [r.error for r in sorted(res)] == [None, "client error 400"] + ["not sent: an earlier batch failed"] * 2
+    assert sent(tmp_path) == ["2026-01-01", "2026-01-11"]
+
+
 def test_nothing_sent_without_rows(spark):
     res = publish.deliver(publish.payload_batches(summary(spark, 0)), scripted([]),
                           sleep=lambda s: None)
@@ -97,7 +141,7 @@ def test_nothing_is_sent_after_a_failure_and_nothing_twice(spark, workdir):
             f.write(first + "\n")
         return (400 if first == "2026-01-11" else 200), json.dumps({"createdRecords": [], "updatedRecords": []})
 
-    res = publish.deliver(publish.payload_batches(summary(spark, 35)), transport, raise_on_error=False)
+    res = publish.deliver(publish.payload_batches(summary(spark, 35)), transport, raise_on_error=False, senders=1)
     got = sorted((r.batch_id, r.status, r.attempts) for r in res.collect())
     assert got == [(0, 200, 1), (1, 400, 1), (2, 0, 0), (3, 0, 0)] and res.count() == 4
     with open(os.path.join(workdir, "sent")) as f:

@@ -417,6 +417,26 @@ def q_push_upsert_counts(spark, sf_dir):
     return push_to_table(summary, target)
 
 
+@register("push_delivery")
+def q_push_delivery(spark, sf_dir):
+    """S7 + S8: the payloads delivered to a service that has the dates before 1997 and is busy
+    at the first try of a batch; what it answered, from the sink's committed report."""
+    import json
+    from ..operators.publish import deliver, payload_batches
+    batches = payload_batches(marts.daily_summary(fact_from_tables(spark, sf_dir)))
+    busy, known_before = set(), testdata.THREE_LOADS[0][0]
+
+    def service(method, payload):
+        if payload not in busy:
+            busy.add(payload)
+            return 429, ""
+        dates = [r["fields"]["date_key"] for r in json.loads(payload)["records"]]
+        old = [d for d in dates if d < known_before]
+        return 200, json.dumps({"createdRecords": dates[len(old):], "updatedRecords": old})
+
+    return deliver(batches, service, sleep=lambda s: None)
+
+
 def landed_orders(spark, sf_dir, undated=0):
     """The landing folder with a file for each order date, written by the named sink."""
     from ..operators.assembly import assemble_orders
@@ -515,6 +535,48 @@ def q_ingest_broken_files(spark, sf_dir):
     return seen[0].unionByName(seen[1])
 
 
+# ------------------------------------------------------------------ the daily job
+
+@register("daily_job")
+def q_daily_job(spark, sf_dir):
+    """L1-L3 + O5 + X13 + X16: the job run for two dates and back-filled for a third. Each run extracts
+    its part of the orders (its own years) and a catalogue snapshot, loads products before orders,
+    transforms, passes the gate and pushes; the summary ends equal to a full build."""
+    import datetime as dt
+    import json
+    from pyspark.sql import functions as F
+    from ..operators.assembly import assemble_orders
+    from ..session import scratch_dir
+    from ..sources.landing import land_orders, land_products
+    from . import pipeline
+    root = scratch_dir(spark, "daily-job")
+    layout = pipeline.Layout(f"{root}/landing", f"{root}/warehouse")
+    heads = testdata.order_headers(spark, sf_dir)
+    nested = assemble_orders(heads, testdata.priced_lines(spark, sf_dir))
+    records = testdata.product_records(spark, sf_dir)
+    year = F.year("extraction_date")
+    parts = {dt.date(2026, 1, 2): year == 1997, dt.date(2026, 1, 3): year > 1997,
+             dt.date(2026, 1, 1): ~F.coalesce(year >= 1997, F.lit(False))}
+
+    def extract(day):
+        land_products(records, day.isoformat(), layout.landing)
+        land_orders(nested.where(parts[day]), layout.landing)
+
+    def service(method, payload):
+        return 200, json.dumps({"createdRecords": json.loads(payload)["records"], "updatedRecords": []})
+
+    lo, hi = heads.agg(F.min("extraction_date"), F.date_add(F.max("extraction_date"), 1)).first()
+    runs = dict(spine=(lo.isoformat(), hi.isoformat()), transport=service)
+    first, second, third = parts
+    for day in (first, second):
+        pipeline.run(spark, layout, date=day.isoformat(), extract=extract, **runs)
+    done = pipeline.backfill(spark, layout, [third], extract, **runs)[0]
+    checks = sum(c["passed"] for c in done.report)
+    files = sum(x.files for x in done.loaded.values())
+    return pipeline.Marts(spark, layout.table("marts")).summary.read().drop("loaded_at").select(
+        "*", F.lit(checks).alias("checks_passed"), (F.lit(files) > 1).alias("backfill_loaded"))
+
+
 # ------------------------------------------------------------------ streaming
 
 BACKFILL_BEFORE = "1997-01-01"

@@ -429,6 +429,21 @@ SELECT CAST((rn - 1) // 10 AS BIGINT) AS batch_id,
        CAST(sum(CASE WHEN date_key >= DATE '1997-01-01' THEN 1 ELSE 0 END) AS INTEGER) AS updated
 FROM numbered GROUP BY 1"""
 
+ORACLE["push_delivery"] = f"""
+WITH {FACT}, summ AS ({summary_select()}),
+numbered AS (SELECT date_key, row_number() OVER (ORDER BY date_key) AS rn FROM summ)
+SELECT CAST((rn - 1) // 10 AS BIGINT) AS batch_id, CAST(200 AS INTEGER) AS status, CAST(2 AS INTEGER) AS attempts,
+       CAST(sum(CASE WHEN date_key >= DATE '1997-01-01' THEN 1 ELSE 0 END) AS INTEGER) AS created,
+       CAST(sum(CASE WHEN date_key < DATE '1997-01-01' THEN 1 ELSE 0 END) AS INTEGER) AS updated,
+       CAST(NULL AS VARCHAR) AS error
+FROM numbered GROUP BY 1"""
+
+ORACLE["daily_job"] = f"""
+WITH {FACT}
+SELECT date_key, total_orders, total_quantity, total_revenue, total_discounted_revenue,
+       CAST(12 AS INTEGER) AS checks_passed, true AS backfill_loaded
+FROM ({summary_select()})"""
+
 _FILE_NAME = "'orders_' || coalesce(strftime({d}, '%Y-%m-%d'), 'undated') || '.json'"
 
 ORACLE["order_envelope"] = f"""

@@ -137,6 +137,13 @@ def product_record(rating_count: F.Column) -> F.Column:
     )
 
 
+def product_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One catalogue record (variant) per part."""
+    brands = read_table(spark, sf_dir, "part", "p_partkey", "p_brand").toDF("product_id", "brand")
+    rows = catalogue(spark, sf_dir).join(brands, "product_id")
+    return rows.select(F.to_variant_object(product_record(F.lit(0))).alias("record"))
+
+
 # Fixed dates of the two catalogue extracts made from the part table.
 SNAPSHOTS = ("1995-01-01", "1998-01-01")
 
