@@ -43,6 +43,36 @@ def test_likeness():
     assert make("") != make("a") and fp.likeness(make(""), make("")) == 1
 
 
+def test_common_beginning_against_plain_strings(monkeypatch):
+    monkeypatch.setattr(fp, "STEP", 50)
+    rng, make = random.Random(6), fp.Fingerprinter()
+    for _ in range(200):
+        a = "".join(rng.choice("abé🙂") for _ in range(rng.randint(0, 400)))
+        b = a[:rng.randint(0, len(a))] + "".join(rng.choice("abé") for _ in range(rng.randint(0, 200)))
+        true = len(os.path.commonprefix([a, b]))
+        grid = max(fp.grid_of(len(a)), fp.grid_of(len(b)))
+        got = fp.common_beginning(make(a), make(b))
+        assert got == true // grid * grid
+        assert len(a) > fp.MARKS or len(b) > fp.MARKS or got == true
+
+
+def test_likeness_against_true_shares():
+    """The sketch's part estimates the Jaccard similarity of spans; short edited texts keep their beginning's share."""
+    rng, make = random.Random(7), fp.Fingerprinter()
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    spans = lambda t: {t[i:i + fp.SPAN] for i in range(len(t) - fp.SPAN + 1)}
+    off = []
+    for _ in range(40):
+        shared = words(rng.randint(50, 300))
+        a, b = words(rng.randint(1, 100)) + shared, words(rng.randint(1, 100)) + shared
+        true = len(spans(a) & spans(b)) / len(spans(a) | spans(b))
+        off.append(abs(fp.likeness(make(a), make(b)) - true))
+    assert sum(off) / len(off) < 0.05 and max(off) < 0.2
+    for n in range(2, 40):
+        text = "".join(rng.choice("abcd") for _ in range(n))
+        assert fp.likeness(make(text), make(fp.edited(text, "x" * n))) >= (n - n // 2) / n - 1e-9
+
+
 @pytest.mark.parametrize("block_bytes", [300, 1 << 24])
 def test_neighbours_by_brute_force(make_docs, block_bytes):
     rng = random.Random(4)
