@@ -13,7 +13,10 @@ class were thinned, so the prior and the rates are those of all training labels.
 
 Only ``text`` and the labels of the training rows are used. Defined results: a
 null text is empty, and every text gets a score. Without toxic training rows
-there are no voters, and each score is the prior. Repeated rows score alike.
+there are no voters, and each score is the prior. Repeated rows score alike; of
+voters that tie, being found in the same texts, the first by name stands for all. A
+very long text is scored whole, by its words. An empty table gives no rows. Extra
+columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -26,13 +29,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import keyed, pin
 
 SAMPLE_PER_CLASS = 10_000  # labelled training rows of each class that the models are fitted on
-MAX_VOTERS = 400  # the strongest; more would not change what the linear model can say by much
 MIN_DOCS = 5  # toxic training rows that a voter must be found in
 MIN_EVIDENCE = 20.0  # likelihood ratio statistic, far beyond chance for millions of candidates
 LABEL_ERROR = 0.01  # share of given labels taken to be wrong
@@ -101,34 +104,42 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_id: str, label_col:
 
 
 def find_voters(rows: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """Candidates much more frequent in toxic rows, strongest first."""
+    """Candidates much more frequent in toxic rows, strongest first; one of those found in the same texts.
+
+    ``texts`` adds up hashes of the texts that have a candidate, which tells such candidates. How many
+    pass is bounded by the sample: each is in ``MIN_DOCS`` of its toxic rows at least.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(found: tuple[Counter, Counter]) -> pa.RecordBatch:
-            names = list(found[0].keys() | found[1].keys())
+        def emit(found: tuple[Counter, Counter, Counter]) -> pa.RecordBatch:
+            names = list(found[2])
             return pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array([found[1][v] for v in names], pa.int64()),
-                 pa.array([found[0][v] for v in names], pa.int64())], ["voter", "toxic", "clean"])
+                 pa.array([found[0][v] for v in names], pa.int64()),
+                 pa.array([found[2][v] for v in names], pa.decimal128(38, 0))], ["voter", "toxic", "clean", "texts"])
 
-        found = (Counter(), Counter())
+        found = (Counter(), Counter(), Counter())
         for b in batches:
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found[y].update(candidates(text))
-                if len(found[0]) + len(found[1]) > FLUSH:
+                own = candidates(text)
+                found[y].update(own)
+                found[2].update(dict.fromkeys(own, xxhash.xxh3_64_intdigest(text)))
+                if len(found[2]) > FLUSH:
                     yield emit(found)
-                    found = (Counter(), Counter())
+                    found = (Counter(), Counter(), Counter())
         yield emit(found)
 
     share = n_toxic / (n_toxic + n_clean)
     both = F.col("toxic") + F.col("clean")
     part = lambda n, p: F.when(n > 0, n * F.log(n / (both * p))).otherwise(0.0)
-    table = (rows.select("text", "toxic").mapInArrow(count, "voter string, toxic long, clean long")
-             .groupBy("voter").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    table = (rows.select("text", "toxic").mapInArrow(count, "voter string, toxic long, clean long, texts decimal(38,0)")
+             .groupBy("voter").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "texts")))
              .where(F.col("toxic") >= MIN_DOCS)
              .withColumn("evidence", 2 * (part(F.col("toxic"), share) + part(F.col("clean"), 1 - share)))
              .withColumn("lift", (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("clean") + 0.5) / (n_clean + 1)))
              .where((F.col("evidence") >= MIN_EVIDENCE) & (F.col("lift") >= MIN_LIFT)))
-    return [r["voter"] for r in table.orderBy(F.desc("evidence"), "voter").limit(MAX_VOTERS).collect()]
+    one = table.groupBy("texts", "toxic", "clean", "evidence").agg(F.min("voter").alias("voter"))
+    return [r["voter"] for r in one.orderBy(F.desc("evidence"), "voter").collect()]
 
 
 def votes(rows: DataFrame, voters: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_id: str = "doc_id", label_col:
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_id: str = "doc_id", label_col: str = "toxic") -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every document, in one pass; the model is at most MAX_VOTERS weights."""
+    """(doc_id, held_out, score, predicted) of every document, in one pass; the model is one weight a voter."""
     rows = keyed(docs, id_col, text_col)
     model = fit(rows, labels, label_id, label_col)
 
