@@ -1,6 +1,8 @@
 import random
 from collections import Counter, defaultdict
 
+import pytest
+
 from tidemart.llm import jaccard_join
 
 
@@ -81,3 +83,9 @@ def test_banding_reaches_the_recall():
     for s, recall in ((0.8, 0.9999), (0.5, 0.99), (0.95, 0.999)):
         bands, rows = jaccard_join.banding(s, recall)
         assert 1 - (1 - s ** rows) ** bands >= recall and bands * rows <= jaccard_join.MAX_HASHES
+
+
+def test_a_recall_out_of_reach_is_refused():
+    with pytest.raises(ValueError, match="can't find"):
+        jaccard_join.banding(0.05, 0.9999)
+    assert jaccard_join.banding(0.8, 0.9999) == (24, 5)

@@ -13,7 +13,10 @@
 Defined results: a null text is empty. A text of fewer words than an n-gram has
 one gram, all its words; texts without words are copies of each other. A row
 with a null id can't be named: it has no class and no links. Rows that share an
-id share a class.
+id share a class, repeated rows among them. Sets at exactly the threshold are linked;
+of the ids of a class the smallest stands for it. A very long text is one set of
+hashes in one task. An empty table gives no rows. Extra columns, whatever their
+names, are not looked at.
 """
 
 from __future__ import annotations
@@ -47,7 +50,9 @@ def banding(threshold: float, recall: float, max_hashes: int = MAX_HASHES) -> tu
         if bands * rows > max_hashes:
             break
         best = bands, rows
-    return best or (max_hashes, 1)
+    if best is None:
+        raise ValueError(f"{max_hashes} hashes can't find pairs of similarity {threshold} with a recall of {recall}")
+    return best
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
