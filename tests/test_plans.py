@@ -77,3 +77,24 @@ def test_history_branch_is_pruned_once_past_the_mark(spark, capsys):
     after = both.where(F.col("loaded_at") > F.lit(testdata.THREE_LOADS[0][2]).cast("timestamp_ntz"))
     full, inc = plan(both, capsys, "simple"), plan(after, capsys, "simple")
     assert full.count("FileScan parquet") == 2 * inc.count("FileScan parquet")
+
+
+def test_raw_variants_are_shredded_and_scans_read_single_paths(spark, workdir, capsys):
+    """A stored record has a column per path, and staging reads those it needs only."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tidemart.operators import staging
+    from tidemart.sources import testdata
+    path = f"{workdir}/raw"
+    testdata.raw_products(spark, SF_SMALL).coalesce(1).write.parquet(path)
+    meta = pq.ParquetFile(glob.glob(f"{path}/*.parquet")[0]).metadata.row_group(0)
+    size = {meta.column(i).path_in_schema: meta.column(i).total_compressed_size for i in range(meta.num_columns)}
+    title = "raw_data.typed_value.record.typed_value.title.typed_value"
+    assert title in size and size["raw_data.value"] < size[title]
+    raw = spark.read.schema("raw_data VARIANT, loaded_at TIMESTAMP_NTZ").parquet(path)
+    one = plan(raw.select(staging.path(staging.RAW, "$.record.price", "double").alias("price")), capsys)
+    assert "ReadSchema: struct<raw_data:struct<0:double>>" in one
+    staged = plan(staging.stage_products(raw), capsys)
+    assert "variant_get" not in staged.lower() and "raw_data:struct<0:bigint" in staged

@@ -68,6 +68,55 @@ def q_stg_order_items_flatten(spark, sf_dir):
     return staging.stage_order_items(testdata.raw_orders(spark, sf_dir))
 
 
+RELANDED = 14
+
+
+def order_versions(spark, sf_dir):
+    """Raw loads of the order headers: the years up to 1998, the later ones, then every 14th order again,
+    a day later and by another user."""
+    from pyspark.sql import functions as F
+    from ..operators.assembly import assemble_orders
+    from ..sources.raw import to_raw
+    heads = testdata.order_headers(spark, sf_dir)
+    again = F.col("order_id") % RELANDED == 0
+    late = F.coalesce(F.year("extraction_date") > 1998, F.lit(False))
+    parts = [heads.where(~late), heads.where(late), heads.where(again).withColumn("user_id", F.col("user_id") + 1)
+             .withColumn("extraction_date", F.date_add("extraction_date", 1))]
+    lines = testdata.priced_lines(spark, sf_dir)
+    for i, part in enumerate(parts, 1):
+        stamped = part.withColumn("loaded_at", F.lit(f"2026-01-01 0{i}:00:00").cast("timestamp_ntz"))
+        yield to_raw(assemble_orders(stamped, lines.join(part.select("order_id"), "order_id", "left_semi")), "orders")
+
+
+@register("stg_orders_incremental")
+def q_stg_orders_incremental(spark, sf_dir):
+    """W2 + P3 + I1: order headers kept as a table, three loads merged one by one, the last with new
+    versions on other dates; ends equal to the window over all of them."""
+    from ..operators.incremental import refresh_orders
+    from ..operators.staging import ORDER_COLUMNS
+    from ..session import scratch_dir
+    from ..sources.storage import MartTable
+    table = MartTable(spark, scratch_dir(spark, "stg-orders"), by="extraction_date", grain="year")
+    for load in order_versions(spark, sf_dir):
+        refresh_orders(table, load)
+    return table.read().select(*ORDER_COLUMNS)
+
+
+@register("stg_products_incremental")
+def q_stg_products_incremental(spark, sf_dir):
+    """W1 + P2 + I1: the latest products kept as a table over two catalogue snapshots."""
+    from pyspark.sql import functions as F
+    from ..operators.incremental import refresh_products
+    from ..operators.staging import PRODUCT_COLUMNS
+    from ..session import scratch_dir
+    from ..sources.storage import MartTable
+    raw = testdata.raw_products(spark, sf_dir)
+    table = MartTable(spark, scratch_dir(spark, "stg-products"), by="extraction_date", grain="year")
+    for day in testdata.SNAPSHOTS:
+        refresh_products(table, raw.where(F.col("loaded_at") == F.lit(day).cast("timestamp_ntz")))
+    return table.read().select(*PRODUCT_COLUMNS)
+
+
 @register("variant_path_events")
 def q_variant_path_events(spark, sf_dir):
     """X1 + X2: a typed path out of semi-structured text."""

@@ -102,6 +102,18 @@ SELECT o.o_orderkey AS order_id, o.o_custkey AS user_id,
        CAST(o.o_orderdate AS DATE) AS extraction_date, o.o_orderdate AS loaded_at
 FROM orders o LEFT JOIN totals ON totals.order_id = o.o_orderkey"""
 
+ORACLE["stg_orders_incremental"] = f"""
+WITH first AS ({ORACLE['stg_orders_latest']})
+SELECT * REPLACE (
+         CASE WHEN order_id % 14 = 0 THEN user_id + 1 ELSE user_id END AS user_id,
+         CASE WHEN order_id % 14 = 0 THEN CAST(extraction_date + INTERVAL 1 DAY AS DATE) ELSE extraction_date END AS extraction_date,
+         CASE WHEN order_id % 14 = 0 THEN TIMESTAMP '2026-01-01 03:00:00'
+              WHEN year(extraction_date) > 1998 THEN TIMESTAMP '2026-01-01 02:00:00'
+              ELSE TIMESTAMP '2026-01-01 01:00:00' END AS loaded_at)
+FROM first"""
+
+ORACLE["stg_products_incremental"] = ORACLE["stg_products_latest"]
+
 ORACLE["order_rollup"] = f"""
 WITH {ORDER_TOTALS}
 SELECT o.o_orderkey AS order_id, o.o_custkey AS user_id,
