@@ -106,3 +106,22 @@ def test_no_training_rows_and_empty_table(make_docs):
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(3, 0, 0, 0.0)]
     assert got[0].score < 0
     assert lm.score(make_docs([]), PATH).count() == 0
+
+
+def test_pieces_score_sums_all_segmentations(make_docs):
+    """The vocabulary's scores alone, over segmentations spelt out one by one."""
+    pieces = lm.usable_pieces(PATH)
+    log_p, log_stop = lm.vocabulary_scores(pieces)
+    weight = dict(zip(pieces, np.exp(log_p).tolist(), strict=True))
+
+    def total(rest):
+        return 1.0 if not rest else sum(weight[rest[:n]] * total(rest[n:]) for n in range(1, len(rest) + 1) if rest[:n] in weight)
+
+    rows = [(1, "cat cats"), (2, "Dog's"), (3, ""), (4, "zq")]
+    ends = sum(1 for d, _ in rows if zlib.crc32(str(d).encode()) % 7 != 2)
+    words = {d: lm.words_of(t.encode()) for d, t in rows}
+    tokens = sum(len(w) + 1 for d, w in words.items() if zlib.crc32(str(d).encode()) % 7 != 2)
+    for r in lm.score(make_docs(rows), PATH).collect():
+        want = math.log10(ends / tokens) + sum(
+            math.log10(total(b" " + w) * math.exp(log_stop) * (1 - ends / tokens)) for w in words[r.doc_id])
+        assert abs(r.pieces_score - want) < 1e-6

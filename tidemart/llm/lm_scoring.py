@@ -9,7 +9,9 @@ word is computed once wherever it stands. The vocabulary's own scores (a
 piece's rank) start the piece weights, and expectation maximisation over the
 lattices of all distinct training words fits them: as the discount takes the
 same from every word, the pieces model the words that are still to come. All
-weights sum to one, so scores are log probabilities of texts.
+weights sum to one, so scores are log probabilities of texts. Beside that score,
+``pieces_score`` is the lattice's alone under the vocabulary's own scores, nothing
+learned but the share of ends: the marginal probability of all segmentations.
 
 Word counts are exact. Tasks count their own words, buckets by a word's hash
 merge the counts, and blocks of documents ask the buckets for just the words
@@ -18,7 +20,10 @@ that they hold, so no task sees the whole word list.
 Defined results: a null or empty text is the end mark alone; bytes outside any
 longer piece are pieces themselves, so every text has a positive probability.
 Without training documents all counts are 0 and the start scores are used.
-Repeated rows score alike; a null id counts as training.
+Repeated rows score alike; a null id counts as training. There are no ties: all
+segmentations count. A very long text is one row of a block, by its distinct words;
+words of ``VECTOR_LENGTH`` bytes and more go one by one. An empty table gives no
+rows. Extra columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -45,7 +50,7 @@ BATCH = 4096
 END = b""  # stands for the end mark among the words, which are never empty
 HASH = np.uint64(0x9E3779B97F4A7C15)
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-          "base_score double, score double")
+          "base_score double, score double, pieces_score double")
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
@@ -219,11 +224,17 @@ def normalised(weights: np.ndarray, first: np.ndarray, stops: float) -> tuple[np
     return np.log(np.where(first, weights / weights[first].sum(), weights / rest)), math.log(stops / rest)
 
 
+def vocabulary_scores(pieces: list[bytes]) -> tuple[np.ndarray, float]:
+    """Piece log probabilities and that of a word's end by the vocabulary's own scores, a piece's rank."""
+    first = np.array([p[0] == 32 for p in pieces])
+    rank = 1 / (np.arange(len(pieces)) + 1.0)
+    return normalised(rank, first, rank[first].sum())
+
+
 def fit(counted: DataFrame, pieces: list[bytes], rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Piece log probabilities and that of a word's end, by expectation maximisation over all training words."""
     first = np.array([p[0] == 32 for p in pieces])
-    rank = 1 / (np.arange(len(pieces)) + 1.0)  # the vocabulary's own order
-    log_p, log_stop = normalised(rank, first, rank[first].sum())
+    log_p, log_stop = vocabulary_scores(pieces)
     for _ in range(rounds):
         now = log_p
 
@@ -257,7 +268,10 @@ def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
     sums = counted.agg(*(F.sum(c) for c in ("kinds", "total", "once", "twice", "ends"))).first()
     kinds, total, once, twice, ends = (x or 0 for x in sums)
     pieces = usable_pieces(vocabulary)
+    given_p, given_stop = vocabulary_scores(pieces)
     log_p, log_stop = fit(counted, pieces)
+    # a text's words and its end, by the share of ends among all tokens
+    end_share = ends / total if total else 0.01
     # what each known word gives up for words that were not seen; without training all but the end mark
     discount = min(0.95, once / (once + 2 * twice)) if once else 0.5
     log_new = math.log(discount * kinds / total if total else 0.99)
@@ -282,6 +296,7 @@ def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
         kinds_here = sorted({w for x in lists for w in x})
         place = {w: i for i, w in enumerate(kinds_here)}
         c, p = np.zeros(len(place), dtype="<i8"), Lattice(pieces, log_p).log_marginals(kinds_here)
+        alone = Lattice(pieces, given_p).log_marginals(kinds_here) + (given_stop + math.log(1 - end_share))
         for words, counts in zip(known["words"].to_pylist(), known["counts"].to_pylist(), strict=True):
             for w, k in zip(words.split(b"\n"), np.frombuffer(counts, dtype="<i8").tolist(), strict=True):
                 i = place.get(w)
@@ -292,7 +307,8 @@ def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
         at = [np.fromiter((place[w] for w in x), dtype=np.int64, count=len(x)) for x in lists]
         return pa.table({"block": asked["block"], "words": asked["asked"],
                          "counts": pa.array([c[i].tobytes() for i in at], pa.binary()),
-                         "logs": pa.array([p[i].astype("<f8").tobytes() for i in at], pa.binary())})
+                         "logs": pa.array([p[i].astype("<f8").tobytes() for i in at], pa.binary()),
+                         "alone": pa.array([alone[i].astype("<f8").tobytes() for i in at], pa.binary())})
 
     def sum_up(part: pa.Table, told: pa.Table) -> pa.Table:
         place: dict[bytes, int] = {}
@@ -300,21 +316,23 @@ def score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: st
             for w in x.split(b"\n"):
                 place[w] = len(place)
         c = np.frombuffer(b"".join(told["counts"].to_pylist()), dtype="<i8")
-        p = np.frombuffer(b"".join(told["logs"].to_pylist()), dtype="<f8") * to_10
+        p, alone = (np.frombuffer(b"".join(told[c].to_pylist()), dtype="<f8") * to_10 for c in ("logs", "alone"))
         base, known = np.log10(c + 1.0) - scale, (c > 0).astype(np.int64)
         out = []
         for t in part["text"].cast(pa.binary()):
             words = words_of(t.as_py())
             at = np.fromiter((place[w] for w in words), dtype=np.int64, count=len(words))
             out.append((len(words) + 1, int(known[at].sum()) + (ends > 0),
-                        float(base[at].sum()) + math.log10(ends + 1) - scale, float(p[at].sum()) + log_end * to_10))
-        n, k, b, s = zip(*out, strict=True) if out else ((), (), (), ())
+                        float(base[at].sum()) + math.log10(ends + 1) - scale, float(p[at].sum()) + log_end * to_10,
+                        float(alone[at].sum()) + math.log10(end_share)))
+        n, k, b, s, a = zip(*out, strict=True) if out else [()] * 5
         return pa.table({"doc_id": part["doc_id"], "held_out": part["held_out"], "n_tokens": pa.array(n, pa.int64()),
                          "n_known": pa.array(k, pa.int64()), "train_tokens": pa.array([total] * len(n), pa.int64()),
-                         "base_score": pa.array(b, pa.float64()), "score": pa.array(s, pa.float64())})
+                         "base_score": pa.array(b, pa.float64()), "score": pa.array(s, pa.float64()),
+                         "pieces_score": pa.array(a, pa.float64())})
 
     own = rows.select("block", "doc_id", "text", "held_out")
     questions = own.groupBy("block").applyInArrow(ask, "block int, bucket int, asked binary")
     answers = (questions.groupBy("bucket").cogroup(counted.select("bucket", "words", "counts").groupBy("bucket"))
-               .applyInArrow(answer, "block int, words binary, counts binary, logs binary"))
+               .applyInArrow(answer, "block int, words binary, counts binary, logs binary, alone binary"))
     return own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(sum_up, SCORES)
