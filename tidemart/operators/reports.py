@@ -5,7 +5,7 @@ Each report is one aggregate plan; only the final report rows reach a caller.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import pricing
 
@@ -81,14 +81,22 @@ def top_products_from(rollup: DataFrame, n: int = 10) -> DataFrame:
     return top.orderBy(F.col("quantity"), F.col("title").desc())
 
 
+def first_row_key(date: Column, order_id: Column) -> Column:
+    """One decimal that orders rows by (date, order id), nulls last: unlike a struct it fits a hash aggregate's buffer."""
+    whole = lambda n: F.lit(str(n)).cast("decimal(21,0)")
+    day = F.coalesce(F.unix_date(date), F.lit(2 ** 31 - 1)).cast("decimal(10,0)")
+    order = F.coalesce((order_id.cast("decimal(19,0)") + whole(2 ** 63)).cast("decimal(21,0)"), whole(10 ** 20 - 1))
+    return ((day * whole(10 ** 20)).cast("decimal(33,0)") + order).cast("decimal(34,0)")
+
+
 def price_vs_rating(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """One row per product, the first by date, order and price, with its price and rating.
+    """One row per product, the first by date and order, with its price and rating.
 
-    The top-1 window is cut to one row per product and task before the shuffle.
+    The fact has one row per order and product, so date and order tell a product's rows apart.
+    One hash aggregate, combined in each task before the shuffle.
     """
-    w = Window.partitionBy("product_id").orderBy("date_key", "order_id", "unit_price")
-    first = (fact.select("product_id", "date_key", "order_id", "unit_price")
-             .withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("product_id", "unit_price"))
+    key = first_row_key(F.col("date_key"), F.col("order_id"))
+    one = fact.groupBy("product_id").agg(F.min_by("unit_price", key).alias("unit_price"))
     dim = dim_product.select("product_id", "title", "rating_rate", "rating_count")
-    return first.join(dim, "product_id", "left").select(
+    return one.join(dim, "product_id", "left").select(
         "product_id", "rating_rate", "unit_price", "rating_count", "title")
