@@ -9,8 +9,11 @@ marked dead and the last token is exchanged for its next shorter prefix. Every
 place dies at most once, so a chunk costs linear time, and a sequence whose
 neighbours are all compatible is the sequence that the merges give.
 
-Defined results: a null text is empty and has no ids; the special token's
-string in a text is that token's id; rows are never dropped.
+Defined results: a null or empty text has no ids; the special token's string in a
+text is that token's id; rows are never dropped, and repeated rows give equal rows.
+There are no ties: the merges fix the tokens. A very long text is encoded whole in
+one task, chunk by chunk. An empty table gives no rows. Extra columns, whatever
+their names, are not looked at.
 """
 
 from __future__ import annotations

@@ -14,6 +14,9 @@ Numbering never gathers a length in one task: pieces are numbered within
 
 Defined results: a null text is empty; an empty document is one piece, the end
 id alone; repeated rows are packed once each; an empty table packs to no rows.
+Pieces that tie in length take their places by a hash and then by id, piece and
+digest. A very long text is encoded whole in one task and cut there. Extra columns,
+whatever their names, are not looked at.
 """
 
 from __future__ import annotations

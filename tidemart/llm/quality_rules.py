@@ -9,7 +9,11 @@ over the counts, so every document is judged by built-in functions.
 
 Defined results: a null text has no words; a document that fails the base rules
 is not kept, and neither is one that a learned rule covers. Without labelled
-rows of both classes the list is empty. Repeated rows are judged alike.
+rows of both classes the list is empty. Repeated rows are judged alike. Of
+thresholds with the same gain the first by column and value is taken, and the first
+rule of the list that covers a document decides. A very long text is counted whole,
+by its words. An empty table gives no rows. Extra columns, whatever their names, are
+not looked at.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ rule wins. Only built-in functions are used.
 Defined results: a null url, or one without ``://``, has an empty host and
 path and fits no rule. A rule without a host fits nothing. Of equal rules with
 different actions, ``block`` wins. Repeated pages keep their rows. Empty tables
-give empty results.
+give empty results. A very long url is expanded whole, by its host and path parts.
+Extra columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
