@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Hashable
 from types import ModuleType
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.session import apply_job_conf, checkpoint_root, scratch_dir
 
 __all__ = ["apply_job_conf", "block_of", "carried", "components", "documents", "keyed", "labels", "lightened", "n_blocks",
-           "per_process", "pin", "quoted", "text_bytes", "unpacked"]
+           "per_process", "pin", "quoted", "release", "text_bytes", "unpacked"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +114,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def release() -> None:
+    """Give memory that earlier groups took back to the system: workers live on beside their executor's other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def per_process(key: Hashable, make: Callable[[], Any]) -> Any:
     """An object that a Python worker keeps for its later tasks (vocabularies, memo tables)."""
     held = sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker")).__dict__.setdefault("kept", {})
