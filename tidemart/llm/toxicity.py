@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import keyed, pin
 
 SAMPLE_PER_CLASS = 10_000  # labelled training rows of each class that the models are fitted on
+MAX_VOTERS = 400  # the strongest, of those found in unlike texts; bounds the vote matrix that the driver fits on
 MIN_DOCS = 5  # toxic training rows that a voter must be found in
 MIN_EVIDENCE = 20.0  # likelihood ratio statistic, far beyond chance for millions of candidates
 LABEL_ERROR = 0.01  # share of given labels taken to be wrong
@@ -106,8 +107,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_id: str, label_col:
 def find_voters(rows: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     """Candidates much more frequent in toxic rows, strongest first; one of those found in the same texts.
 
-    ``texts`` adds up hashes of the texts that have a candidate, which tells such candidates. How many
-    pass is bounded by the sample: each is in ``MIN_DOCS`` of its toxic rows at least.
+    ``texts`` adds up hashes of the texts that have a candidate, which tells such candidates, so that
+    copies of a voter take no place among the ``MAX_VOTERS``.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +140,7 @@ def find_voters(rows: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
              .withColumn("lift", (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("clean") + 0.5) / (n_clean + 1)))
              .where((F.col("evidence") >= MIN_EVIDENCE) & (F.col("lift") >= MIN_LIFT)))
     one = table.groupBy("texts", "toxic", "clean", "evidence").agg(F.min("voter").alias("voter"))
-    return [r["voter"] for r in one.orderBy(F.desc("evidence"), "voter").collect()]
+    return [r["voter"] for r in one.orderBy(F.desc("evidence"), "voter").limit(MAX_VOTERS).collect()]
 
 
 def votes(rows: DataFrame, voters: list[str]) -> tuple[np.ndarray, np.ndarray]:
