@@ -607,7 +607,7 @@ def q_daily_job(spark, sf_dir):
     from ..sources.landing import land_orders, land_products
     from . import pipeline
     root = scratch_dir(spark, "daily-job")
-    layout = pipeline.Layout(f"{root}/landing", f"{root}/warehouse")
+    layout = pipeline.Layout(f"{root}/landing", f"{root}/warehouse", grain="year")
     heads = testdata.order_headers(spark, sf_dir)
     nested = assemble_orders(heads, testdata.priced_lines(spark, sf_dir))
     records = testdata.product_records(spark, sf_dir)
