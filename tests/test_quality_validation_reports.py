@@ -199,3 +199,19 @@ def test_work_folders_live_under_the_sessions_checkpoint_dir(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_strict_validation_counts_in_parallel(spark):
+    from tidemart.operators import validation
+    docs = [{"id": i, "title": "t", "price": 1.0, "description": "d", "category": "c", "image": "i",
+             "rating": {"rate": 1.0, "count": 1}} for i in range(40)]
+    one_task, seen = _records(spark, docs).coalesce(1), []
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("strict-validation", "")
+    try:
+        validation.split_valid(one_task, strict=True)
+        for job in tracker.getJobIdsForGroup("strict-validation"):
+            seen += [tracker.getStageInfo(s).numTasks for s in tracker.getJobInfo(job).stageIds if tracker.getStageInfo(s)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(seen) >= spark.sparkContext.defaultParallelism > 1
