@@ -70,3 +70,11 @@ def test_pack_documents(make_docs, monkeypatch):
 
 def test_empty_table(make_docs):
     assert packing.pack_documents(make_docs([]), PATH).count() == 0
+
+
+def test_memo_table_is_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 10)
+    words = packing.WordTokens(PATH)
+    text = " ".join(f"w{i}" for i in range(50))
+    assert len(words(text)) and len(words.memo) <= 10
+    assert words(text) == packing.WordTokens(PATH)(text)

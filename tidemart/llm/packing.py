@@ -31,9 +31,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm import bpe
-from tidemart.llm.common import keyed, per_process, pin
+from tidemart.llm.common import keyed, per_process, pin, release
 
 GROUP = 20_000  # pieces numbered together
+WORDS = 300_000  # entries of a worker's memo table, emptied when full; results don't depend on it
 RANKS = 1 << 44  # more than the pieces of one length
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -58,7 +59,7 @@ class WordTokens:
 
     def word(self, text: str) -> bytes:
         ids = np.array(self.encode_word(text), dtype="<u4").tobytes()
-        if len(self.memo) >= bpe.CHUNKS:
+        if len(self.memo) >= WORDS:
             self.memo.clear()
         if len(text) <= 64:
             self.memo[text] = ids
@@ -99,6 +100,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 10
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(cols)],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
+        release()  # the worker lives on beside later stages and the executor's other tasks
 
     return keyed(docs, id_col, text_col).mapInArrow(run, PIECES)
 
