@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import jaccard_join, line_dedup, packing, suffix_dedup, toxicity
-from tidemart.llm.common import apply_job_conf, documents, labels, lightened, pin
+from tidemart.llm.common import apply_job_conf, documents, labels, lightened, pin, small_batches
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -38,6 +38,7 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     scores = toxicity.score(docs, labels(spark, sf_dir))
     return without_ids(docs, scores.where("predicted = 1").select("doc_id"))
 
@@ -47,15 +48,18 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = jaccard_join.join(docs)
     return without_ids(docs, found.where("doc_id <> class_id").select("doc_id"))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return with_lengths(suffix_dedup.rewrite(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack_documents(docs, VOCABULARY)
 
 

@@ -89,3 +89,22 @@ def test_a_recall_out_of_reach_is_refused():
     with pytest.raises(ValueError, match="can't find"):
         jaccard_join.banding(0.05, 0.9999)
     assert jaccard_join.banding(0.8, 0.9999) == (24, 5)
+
+
+def test_linking_sets_takes_few_bytes_a_gram():
+    import tracemalloc
+    from fractions import Fraction
+
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    sets = [np.unique(np.append(base, rng.integers(0, 1 << 63, 600, dtype=np.uint64))) for _ in range(200)]
+    tracemalloc.start()
+    try:
+        links = jaccard_join.linked(sets, Fraction(1, 2))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert links.sum() == 200 * 199
+    assert most < 40 * sum(map(len, sets))

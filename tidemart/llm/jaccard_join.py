@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import components, keyed, pin
+from tidemart.llm.common import components, keyed, pin, release
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -112,6 +112,7 @@ def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(keys, pa.binary()), pa.array(n, pa.int64()), pa.array(signs, pa.list_(pa.int64()))],
                 ["doc_id", "set_id", "grams", "bands"])
+        release()  # the worker lives on beside later stages and the executor's other tasks
 
     return docs.mapInArrow(run, "doc_id long, set_id binary, grams long, bands array<long>")
 
@@ -124,21 +125,29 @@ def linked(sets: list[np.ndarray], fraction: Fraction, left: np.ndarray | None =
     """
     k = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    grams, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(k), sizes)
-    core = np.bincount(ids, minlength=len(grams)) * 2 > k
-    number = np.cumsum(core) - 1
+    every = np.concatenate(sets)
+    order = np.argsort(every)
+    every = every[order]
+    ids = np.empty(len(every), dtype=np.int32)
+    ids[order] = np.cumsum(np.append(False, every[1:] != every[:-1]), dtype=np.int32)
+    del every, order
+    owner = np.repeat(np.arange(k, dtype=np.int32), sizes)
+    core = np.bincount(ids) * 2 > k
+    number = np.cumsum(core, dtype=np.int32) - 1
     has = np.zeros((k, int(core.sum())), dtype=bool)
     inside = core[ids]
     has[owner[inside], number[ids[inside]]] = True
     lacks_owner, lacks = np.nonzero(~has)
     lacking = np.bincount(lacks_owner, minlength=k)
-    items = np.concatenate([ids[~inside] + has.shape[1], lacks])
-    owners = np.concatenate([owner[~inside], lacks_owner])
+    items = np.concatenate([ids[~inside] + np.int32(has.shape[1]), lacks.astype(np.int32)])
+    owners = np.concatenate([owner[~inside], lacks_owner.astype(np.int32)])
+    del ids, owner, inside, lacks_owner, lacks
     order = np.argsort(items, kind="stable")
     items, owners = items[order], owners[order]
-    _, begin, count = np.unique(items, return_index=True, return_counts=True)
-    which = np.repeat(np.arange(len(begin)), count)
+    del order
+    begin = np.flatnonzero(np.diff(items, prepend=-1))
+    count = np.diff(begin, append=len(items))
+    which = np.repeat(np.arange(len(begin), dtype=np.int32), count)
     by_owner = np.argsort(owners, kind="stable")
     bounds = np.searchsorted(owners[by_owner], np.arange(k + 1))
     out = np.zeros((k, k), dtype=bool)
@@ -213,6 +222,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     tasks = placed.join(with_text.withColumnRenamed("doc_id", "rep"), ["set_id", "rep"])
 
     def verify(table: pa.Table) -> pa.Table:
+        release()
         out = []
         roots = table["root"].to_numpy()
         order = np.argsort(roots, kind="stable")

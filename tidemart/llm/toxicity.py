@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import keyed, pin
+from tidemart.llm.common import keyed, pin, release
 
 SAMPLE_PER_CLASS = 10_000  # labelled training rows of each class that the models are fitted on
 MAX_VOTERS = 400  # the strongest, of those found in unlike texts; bounds the vote matrix that the driver fits on
@@ -129,6 +129,8 @@ def find_voters(rows: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
                     yield emit(found)
                     found = (Counter(), Counter(), Counter())
         yield emit(found)
+        del found
+        release()  # the worker lives on beside later stages and the executor's other tasks
 
     share = n_toxic / (n_toxic + n_clean)
     both = F.col("toxic") + F.col("clean")
@@ -237,6 +239,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([of(t) for t in b.column(1).to_pylist()], pa.float64())], ["doc_id", "score"])
+        release()
 
     return (rows.mapInArrow(run, "doc_id long, score double")
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
