@@ -98,3 +98,22 @@ def test_raw_variants_are_shredded_and_scans_read_single_paths(spark, workdir, c
     assert "ReadSchema: struct<raw_data:struct<0:double>>" in one
     staged = plan(staging.stage_products(raw), capsys)
     assert "variant_get" not in staged.lower() and "raw_data:struct<0:bigint" in staged
+
+
+def test_landing_files_are_read_and_parsed_once(spark, capsys, workdir):
+    from tidemart.sources import landing
+    files = spark.createDataFrame([("orders_x.json", "x", "{}")], "file_name string, file_path string, content string")
+    p = plan(landing.unwrap(landing.judge(files, "orders")), capsys, "simple")
+    assert p.count("parseJson") == 1 and p.count("$.data") == 1
+
+
+def test_records_are_not_shuffled_by_date_to_be_paged(spark, capsys):
+    from tidemart.sources import landing
+    records = spark.range(9).select(F.col("id").alias("order_id"), F.lit("{}").alias("record"),
+                                    F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int")).alias("extraction_date"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" not in plan(landing.paged_records(records, "orders"), capsys, "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
