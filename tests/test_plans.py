@@ -105,6 +105,7 @@ def test_landing_files_are_read_and_parsed_once(spark, capsys, workdir):
     files = spark.createDataFrame([("orders_x.json", "x", "{}")], "file_name string, file_path string, content string")
     p = plan(landing.unwrap(landing.judge(files, "orders")), capsys, "simple")
     assert p.count("parseJson") == 1 and p.count("$.data") == 1
+    assert plan(QUERIES["order_envelope"](spark, SF_SMALL), capsys, "simple").count("FileScan binaryFile") == 1
 
 
 def test_records_are_not_shuffled_by_date_to_be_paged(spark, capsys):
