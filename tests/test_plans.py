@@ -118,3 +118,10 @@ def test_records_are_not_shuffled_by_date_to_be_paged(spark, capsys):
         assert "SortMergeJoin" not in plan(landing.paged_records(records, "orders"), capsys, "simple")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_order_totals_are_summed_once(spark, capsys):
+    from tidemart.operators.assembly import assemble_orders
+    nested = assemble_orders(testdata.order_headers(spark, SF_SMALL), testdata.priced_lines(spark, SF_SMALL))
+    p = plan(nested, capsys, "simple")
+    assert p.count("partial_count(1)") == 1 and len(re.findall(r"FileScan parquet.*l_orderkey", p)) == 2
